@@ -76,7 +76,7 @@ def _rounder(last: bool):
         for at in groups.groupby("_rank", sort=False).indices.values():
             got, held = round_pivotal(groups["_size"].to_numpy(np.float64)[at], part[at], draw[at])
             if held >= 0 and last:
-                got[held] = float(draw[at][held] < got[held])
+                got[held] = float(got[held] >= 0.5)  # the nearer one: no more than half a document is missed
             elif held >= 0:
                 open_[at[held]] = True
             part[at] = got

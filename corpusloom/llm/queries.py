@@ -5,22 +5,55 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.llm._store import read_table
+from corpusloom.llm.anisotropic_ann import nearest
+from corpusloom.llm.exact_topk import top_k
 from corpusloom.llm.mixing import mixed_documents
+from corpusloom.llm.packing import pack_documents
 from corpusloom.llm.sharding import shard_documents
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read_table(spark, sf_dir, "documents"))
+
+
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(read_table(spark, sf_dir, "embeddings"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op9_anisotropic_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read_table(spark, sf_dir, "embeddings"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op5_packing": op5_packing,
+    "op6_exact_topk": op6_exact_topk,
     "op8_mixing": op8_mixing,
+    "op9_anisotropic_ann": op9_anisotropic_ann,
     "op10_sharding": op10_sharding,
 }
 
 #: Only what DuckDB can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_exact_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                   CAST(list_sum(list_transform(list_zip(q.w, c.w), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+        ), r AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s
+        )
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+}
