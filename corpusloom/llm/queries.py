@@ -9,7 +9,17 @@ from corpusloom.llm.anisotropic_ann import nearest
 from corpusloom.llm.exact_topk import top_k
 from corpusloom.llm.mixing import mixed_documents
 from corpusloom.llm.packing import pack_documents
+from corpusloom.llm.pseudonyms import pseudonymised_documents
 from corpusloom.llm.sharding import shard_documents
+from corpusloom.llm.url_rules import filter_pages
+
+
+def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_pages(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "labels"))
+
+
+def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymised_documents(read_table(spark, sf_dir, "documents"))
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +43,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_url_rules": op3_url_rules,
+    "op4_pseudonyms": op4_pseudonyms,
     "op5_packing": op5_packing,
     "op6_exact_topk": op6_exact_topk,
     "op8_mixing": op8_mixing,
