@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from corpusloom.llm._store import read_table
 from corpusloom.llm.anisotropic_ann import nearest
 from corpusloom.llm.exact_topk import top_k
+from corpusloom.llm.language_id import identified_documents
 from corpusloom.llm.mixing import mixed_documents
 from corpusloom.llm.packing import pack_documents
 from corpusloom.llm.pseudonyms import pseudonymised_documents
@@ -14,6 +15,10 @@ from corpusloom.llm.sharding import shard_documents
 from corpusloom.llm.url_rules import filter_pages
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identified_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_pages(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "labels"))
 
@@ -43,6 +48,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op3_url_rules": op3_url_rules,
     "op4_pseudonyms": op4_pseudonyms,
     "op5_packing": op5_packing,
