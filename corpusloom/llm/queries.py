@@ -9,6 +9,7 @@ from corpusloom.llm.anisotropic_ann import nearest
 from corpusloom.llm.exact_topk import top_k
 from corpusloom.llm.language_id import identified_documents
 from corpusloom.llm.mixing import mixed_documents
+from corpusloom.llm.near_dedup import near_duplicates
 from corpusloom.llm.packing import pack_documents
 from corpusloom.llm.pseudonyms import pseudonymised_documents
 from corpusloom.llm.sharding import shard_documents
@@ -19,6 +20,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identified_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_pages(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "labels"))
 
@@ -49,6 +54,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_near_dedup": op2_near_dedup,
     "op3_url_rules": op3_url_rules,
     "op4_pseudonyms": op4_pseudonyms,
     "op5_packing": op5_packing,
