@@ -10,6 +10,7 @@ as fast on short strings and gives the same ids (tests compare them).
 from __future__ import annotations
 
 import base64
+import functools
 
 import numpy as np
 import public_tokenizers
@@ -42,12 +43,22 @@ class _Words(dict):
         return ids
 
 
+def encoding(path: str = BYTE_RANKS, ranks: int | None = None) -> tiktoken.Encoding:
+    """The vocabulary of ``path``, or its first ``ranks``: a smaller one by the same merges."""
+    with open(path, "rb") as f:
+        ranked = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks={k: v for k, v in ranked.items() if ranks is None or v < ranks}, special_tokens={})
+
+
+@functools.cache
+def small_bpe(ranks: int = 1024) -> tiktoken.Encoding:
+    return encoding(ranks=ranks)
+
+
 class WordTokenizer:
     def __init__(self, path: str = BYTE_BPE, ranks: str = BYTE_RANKS):
         self._tokenizer = Tokenizer.from_file(path)
-        with open(ranks, "rb") as f:
-            ranked = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self._words = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranked, special_tokens={})
+        self._words = encoding(ranks)
         self._first, self._later = _Words(self._word, ""), _Words(self._word, " ")
         self._feed = self.encode("\n")
 

@@ -122,12 +122,12 @@ def half_keys(shingles: np.ndarray) -> np.ndarray:
     return _mixed(pair + np.arange(len(pair), dtype=np.uint64)).view(np.int64)
 
 
-def in_chunks(texts: list[str | None]) -> Iterator[list[bytes]]:
+def in_chunks(texts: list[str | None], most: int = CHUNK) -> Iterator[list[bytes]]:
     out, size = [], 0
     for t in texts:
         out.append((t or "").encode("utf-8", "surrogatepass"))
         size += len(out[-1])
-        if size > CHUNK:
+        if size > most:
             yield out
             out, size = [], 0
     if out:

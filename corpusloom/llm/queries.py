@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.llm._store import read_table
 from corpusloom.llm.anisotropic_ann import nearest
+from corpusloom.llm.attention_lm import scored_documents
 from corpusloom.llm.exact_topk import top_k
 from corpusloom.llm.language_id import identified_documents
 from corpusloom.llm.mixing import mixed_documents
@@ -40,6 +41,10 @@ def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(read_table(spark, sf_dir, "embeddings"))
 
 
+def op7_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scored_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_documents(read_table(spark, sf_dir, "documents"))
 
@@ -59,6 +64,7 @@ QUERIES = {
     "op4_pseudonyms": op4_pseudonyms,
     "op5_packing": op5_packing,
     "op6_exact_topk": op6_exact_topk,
+    "op7_attention_lm": op7_attention_lm,
     "op8_mixing": op8_mixing,
     "op9_anisotropic_ann": op9_anisotropic_ann,
     "op10_sharding": op10_sharding,
