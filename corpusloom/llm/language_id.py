@@ -111,16 +111,18 @@ def _mask(order: int) -> np.uint64:
     return np.uint64((1 << BITS * order) - 1)
 
 
-def kneser_ney(counts: list[tuple[np.ndarray, np.ndarray]], letters: int) -> tuple[list[HashArray], list[HashArray]]:
-    """Tables from each language's sorted ORDER-grams and their counts."""
+def kneser_ney(counts: list[tuple[np.ndarray, np.ndarray]], letters: int, least: int = 1) -> tuple[list[HashArray], list[HashArray]]:
+    """Tables from each language's sorted ORDER-grams and their counts. Those counted fewer than
+    ``least`` times are left to the shorter orders."""
     by_order: list[list[tuple[np.ndarray, np.ndarray]]] = [counts]
     for order in range(ORDER - 1, 0, -1):  # how many grams a shorter one ends
-        by_order.append([np.unique(keys & _mask(order), return_counts=True) for keys, _ in by_order[-1]])
+        by_order.append([tuple(np.unique(keys & _mask(order), return_counts=True)) for keys, _ in by_order[-1]])
     grams, contexts, lower, below = [], [], None, None
     for order in range(1, ORDER + 1):
         own = by_order[ORDER - order]
-        union = np.unique(np.concatenate([k for k, _ in own]))
-        heads = np.unique(union >> np.uint64(BITS))
+        kept = [n >= (least if order == ORDER else 1) for _, n in own]
+        union = np.unique(np.concatenate([k[on] for (k, _), on in zip(own, kept, strict=True)]))
+        heads = np.unique(np.concatenate([k >> np.uint64(BITS) for k, _ in own]))
         weight = np.ones((len(heads), len(own)))
         share = np.zeros((len(union), len(own)))
         for j, (keys, n) in enumerate(own):
@@ -130,8 +132,11 @@ def kneser_ney(counts: list[tuple[np.ndarray, np.ndarray]], letters: int) -> tup
             d = n1 / (n1 + 2 * n2) if n1 else 0.5
             at = np.searchsorted(heads, keys >> np.uint64(BITS))
             total, kinds = np.bincount(at, n, len(heads)), np.bincount(at, minlength=len(heads))
-            weight[kinds > 0, j] = d * kinds[kinds > 0] / total[kinds > 0]
-            share[np.searchsorted(union, keys), j] = (n - d) / total[at]
+            on = kept[j]
+            own_share = (n[on] - d) / total[at[on]]
+            share[np.searchsorted(union, keys[on]), j] = own_share
+            # what the grams that are kept leave: their discounts, and all of the others
+            weight[kinds > 0, j] = (d * kinds[kinds > 0] + np.bincount(at[~on], n[~on] - d, len(heads))[kinds > 0]) / total[kinds > 0]
         base = 1 / (letters + 2) if order == 1 else below[np.searchsorted(lower, union & _mask(order - 1))]
         prob = share + weight[np.searchsorted(heads, union >> np.uint64(BITS))] * base
         grams.insert(0, hash_array(union, np.log(prob)))
