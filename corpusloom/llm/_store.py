@@ -17,6 +17,14 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the bytes of text that Spark hands to a Python worker at once, where the session leaves
+    that at its default: documents are long, and each task holds a batch on both sides."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(setting) == "10000":
+        spark.conf.set(setting, "1000")
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back, so that a lost
     executor costs a re-read and not a recomputation."""

@@ -21,7 +21,7 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 #: The same vocabulary as ranks.
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Words that a worker remembers, and the longest of them in characters.
-MEMORY, LONGEST = 400_000, 40
+MEMORY, LONGEST = 200_000, 40
 
 
 class _Whole(Exception):

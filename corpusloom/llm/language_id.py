@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm._store import materialise
+from corpusloom.llm._store import materialise, small_batches
 
 ORDER, BITS, MOST_LETTERS = 5, 12, 4000
 #: Labelled documents of a language that are used, on average; the sample is taken by hash of the id.
@@ -27,7 +27,7 @@ SAMPLE = 800
 #: Share of good documents that calibration may reject, and the least distance in deviations.
 REJECTED, LEAST_Z = 0.0005, 8.0
 #: Characters that are scored at once.
-WINDOW = 1 << 19
+WINDOW = 1 << 17
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -190,7 +190,7 @@ def cross_entropies(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndar
     return -total / np.maximum(n, 1)[:, None], n
 
 
-def _flushed(batch: pa.RecordBatch, most: int = 1 << 21) -> Iterator[list[int]]:
+def _flushed(batch: pa.RecordBatch, most: int = 1 << 19) -> Iterator[list[int]]:
     """Places of texts, some at a time."""
     out, size = [], 0
     for i, n in enumerate(pa.compute.binary_length(batch["text"]).to_pylist()):
@@ -315,6 +315,7 @@ def identify(docs: DataFrame, model: Model, calibration: Calibration, id_col: st
     whole; repeated rows are judged each; other columns pass through, and those with the added
     names are replaced.
     """
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast((model, calibration))
     added = ("held_out", "lang_pred", "score", "rejected", "cross_entropy")
     rows = docs.drop(*added).withColumn("held_out", F.coalesce(remainder(id_col) == 0, F.lit(False)))

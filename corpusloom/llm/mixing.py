@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from corpusloom.llm._store import materialise
 
 #: Documents of a block, and blocks that one node of the reduction tree combines.
-BLOCK_ROWS, FAN_IN = 4096, 64
+BLOCK_ROWS, FAN_IN = 1024, 64
 WORD = r"[^\x20\x09-\x0D]+"
 _EPS = 1e-9
 

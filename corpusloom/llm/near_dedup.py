@@ -15,7 +15,7 @@ small buckets, block by block, without listing pairs, in large ones.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm._components import components
-from corpusloom.llm._store import materialise
+from corpusloom.llm._store import materialise, small_batches
 
 WORDS, PERCENT = 5, 75
 #: Keys of each collection. A pair at the threshold is found with probability
@@ -34,7 +34,7 @@ SIDE = 10
 #: members of a block where larger buckets are compared.
 PICKS, DENSE, BLOCK = 3, 24, 512
 #: Bytes of text that are hashed at once.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 
 _U = np.uint64
 _GOLD = _U(0x9E3779B97F4A7C15)
@@ -122,7 +122,7 @@ def half_keys(shingles: np.ndarray) -> np.ndarray:
     return _mixed(pair + np.arange(len(pair), dtype=np.uint64)).view(np.int64)
 
 
-def in_chunks(texts: list[str | None], most: int = CHUNK) -> Iterator[list[bytes]]:
+def in_chunks(texts: Iterable[str | None], most: int = CHUNK) -> Iterator[list[bytes]]:
     out, size = [], 0
     for t in texts:
         out.append((t or "").encode("utf-8", "surrogatepass"))
@@ -134,10 +134,16 @@ def in_chunks(texts: list[str | None], most: int = CHUNK) -> Iterator[list[bytes
         yield out
 
 
+def each_text(column: pa.Array) -> Iterator[str | None]:
+    """The texts of a column, of which few are held as Python strings at once."""
+    for at in range(0, len(column), 64):
+        yield from column.slice(at, 64).to_pylist()
+
+
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n, cls, keys = [], [], []
-        for texts in in_chunks(batch["text"].to_pylist()):
+        for texts in in_chunks(each_text(batch["text"])):
             for s in shingle_sets(texts):
                 n.append(len(s))
                 cls.append(class_of(s) if len(s) else None)
@@ -160,7 +166,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     last: tuple[int | None, np.ndarray | None] = (None, None)
     for batch in batches:
         u, v = batch["u"].to_pylist(), batch["v"].to_pylist()
-        own = [s for texts in in_chunks(batch["own"].to_pylist()) for s in shingle_sets(texts)]
+        own = [s for texts in in_chunks(each_text(batch["own"])) for s in shingle_sets(texts)]
         ok = np.zeros(len(batch), bool)
         for i, mine in enumerate(own):
             if last[0] != u[i]:
@@ -186,6 +192,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     equal sets. Rows with a null id keep a null component_id and are kept; they link others.
     Texts are hashed whole in 64 bits. Other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sketch = materialise(docs.mapInArrow(_sketched, "doc_id long, n_shingles long, cls long, keys binary"), "sketch")
     classes = sketch.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("first"), F.min("n_shingles").alias("n"), F.first("keys").alias("keys"))
@@ -300,6 +307,6 @@ def _block_links(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
 
 def _own_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [s for texts in in_chunks(batch["text"].to_pylist()) for s in shingle_sets(texts)]
+        sets = [s for texts in in_chunks(each_text(batch["text"])) for s in shingle_sets(texts)]
         own = [len(s) > 0 and class_of(s) == c for s, c in zip(sets, batch["cls"].to_pylist(), strict=True)]
         yield pa.RecordBatch.from_arrays([batch["cls"], batch["text"]], ["cls", "text"]).filter(pa.array(own, pa.bool_()))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm._store import materialise
+from corpusloom.llm._store import materialise, small_batches
 from corpusloom.llm._tokens import BYTE_BPE, tokenizer
 
 #: Pieces of a block, blocks that a node of the tree combines, and bins that it may reopen.
@@ -36,6 +36,7 @@ def cut(n: int, most: int) -> list[tuple[int, int]]:
 def pieces(docs: DataFrame, capacity: int = 1024, end_id: int = 2, tokenizer_path: str = BYTE_BPE) -> DataFrame:
     """Token pieces of whole texts of ``docs`` (doc_id, text): null texts are as empty ones,
     whose only token is the end."""
+    small_batches(docs.sparkSession)
     end = np.array([end_id], "<u4").tobytes()
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -36,7 +36,7 @@ PATTERNS = {
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: A text without any of these holds no candidate.
-HINT = r"[0-9]{2}|@|-----BEGIN|(?i:pass|pwd|secret|token|key)"
+HINT = r"[0-9][0-9.]|@|-----BEGIN|(?i:pass|pwd|secret|token|key)"
 
 
 def _pow10(n: Column) -> Column:
