@@ -11,7 +11,8 @@ from corpusloom.llm._store import materialise
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
     """One star step: neighbours are linked with the least of them."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
-    least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+    # written, so that the join below deals both sides anew and Spark can split the rows of a hub
+    least = materialise(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "least")
     out = both.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     if large:
         return out.filter(F.col("u") > F.col("v")).distinct()

@@ -15,6 +15,7 @@ small buckets, block by block, without listing pairs, in large ones.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -40,6 +41,7 @@ _U = np.uint64
 _GOLD = _U(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[65:91] += _U(32)
 _RNG = np.random.default_rng(20240229)
@@ -72,9 +74,35 @@ class _Powers:
 _POWERS = _Powers()
 
 
+def _pieces(text: bytes) -> Iterator[bytes]:
+    """``text`` cut at white space, so that no more is hashed at once than CHUNK and a word."""
+    at = 0
+    while len(text) - at > CHUNK and (found := _BLANK.search(text, at + CHUNK)):
+        yield text[at : found.start()]
+        at = found.start()
+    yield text[at:]
+
+
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the lower-cased words of all texts, and the number of words of each."""
-    buf = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
+    words, counts = [], np.zeros(len(texts), np.int64)
+    held: list[tuple[int, bytes]] = []
+    size = 0
+    for i, text in enumerate(texts):
+        for piece in _pieces(text):
+            held.append((i, piece))
+            size += len(piece)
+            if size >= CHUNK:
+                words.append(_hashed(held, counts))
+                held, size = [], 0
+    if held:
+        words.append(_hashed(held, counts))
+    return np.concatenate(words) if words else np.zeros(0, np.uint64), counts
+
+
+def _hashed(pieces: list[tuple[int, bytes]], counts: np.ndarray) -> np.ndarray:
+    """Hashes of the words of pieces of texts; adds to the texts' ``counts``."""
+    buf = np.frombuffer(b" ".join([*(p for _, p in pieces), b""]), np.uint8)
     space = _SPACE[buf]
     before = np.r_[True, space[:-1]]
     starts = np.flatnonzero(~space & before)
@@ -82,9 +110,9 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     up, down = _POWERS.to(len(buf) + 1)
     total = np.cumsum((_LOWER[buf] + _U(1)) * up[:-1], dtype=np.uint64)
     total = np.r_[_U(0), total]
-    words = _mixed((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _GOLD)
-    edges = np.cumsum([len(t) + 1 for t in texts])
-    return words, np.diff(np.searchsorted(starts, np.r_[0, edges]))
+    edges = np.cumsum([len(p) + 1 for _, p in pieces])
+    np.add.at(counts, [i for i, _ in pieces], np.diff(np.searchsorted(starts, np.r_[0, edges])))
+    return _mixed((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _GOLD)
 
 
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
@@ -201,6 +229,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     least = merged.join(classes.select("cls", "first"), "cls").groupBy("comp").agg(F.min("first").alias("least"))
     moved = merged.join(least, "comp").select("cls", "least")
     named = classes.select("cls", "first").join(moved, "cls", "left").select("cls", F.coalesce("least", "first").alias("component"))
+    named = materialise(named, "named")  # so that Spark can split the rows of a class with very many copies
     out = sketch.select("doc_id", "n_shingles", "cls").join(named, "cls", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
