@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import prepared_input, strip
-from corpusloom.settings import EMBED_WIDTH, FIELDS, REQUEST_ITEMS, REQUEST_TOKENS, WEIGHT_ORDER
+from corpusloom.settings import EMBED_WIDTH, FIELDS, INPUT_CHARS, INPUT_TOKENS, REQUEST_ITEMS, REQUEST_TOKENS, WEIGHT_ORDER
 
 CACHE_SCHEMA = "field string, ticket_id string, text_hash long, model string, vec array<float>"
 
@@ -26,6 +26,33 @@ class Embedder(Protocol):
     def embed(self, keys: list[str], texts: list[str]) -> list[np.ndarray]: ...
 
 
+class Tokenizer(Protocol):
+    """What counts and cuts tokens."""
+
+    def encode(self, text: str) -> list[int]: ...
+
+    def decode(self, ids: list[int]) -> str: ...
+
+
+def prepare_with(tokenizer: Tokenizer):
+    """A function of a text column: the text cut to the limits of characters and tokens, and the
+    size it is counted as, the larger of its tokens and a quarter of its characters."""
+
+    @F.pandas_udf("text string, size int")
+    def prepared(texts: pd.Series) -> pd.DataFrame:
+        out = []
+        for text in texts:
+            text = (text or "")[:INPUT_CHARS]
+            ids = tokenizer.encode(text)
+            if len(ids) > INPUT_TOKENS:
+                ids = ids[:INPUT_TOKENS]
+                text = tokenizer.decode(ids)
+            out.append((text, max(len(ids), -(-len(text) // 4))))
+        return pd.DataFrame(out, columns=["text", "size"])
+
+    return prepared
+
+
 class RequestTooLarge(Exception):
     """A provider refused a request for its size."""
 

@@ -15,6 +15,7 @@ from corpusloom.operators import requests
 from corpusloom.operators.records import require
 from corpusloom.settings import MOST_REQUESTS
 from corpusloom.sources.files import append_new, read_cache, write_document
+from corpusloom.sources.workbook import read_workbook, write_workbook
 
 TARGETS = {"tickets": {"description": clean_description}, "time_entries": {"summarynotes": clean_note, "internalnotes": clean_note}}
 
@@ -38,6 +39,18 @@ def clean_table(df: DataFrame, targets: dict[str, Callable[[Column], Column]]) -
     return out.select(*[F.col(f"_{c}").alias(c) if c in there else F.col(c) for c in df.columns]), seen
 
 
+def clean_workbook(spark: SparkSession, source: str, target: str, kind: str, *, sheet: str = "Export", names: dict[str, str] | None = None, numbers: tuple[str, ...] = ()) -> dict:
+    """A twin of the workbook ``source`` whose columns of that ``kind`` of table are cleaned; all other
+    cells and the header are kept. ``names`` maps the header's names to those of TARGETS."""
+    df = read_workbook(spark, source, sheet=sheet, names=names)
+    out, _ = clean_table(df, TARGETS[kind])
+    changed = sum((F.coalesce(df[c] != fn(df[c]), F.lit(False)).cast("long") for c, fn in TARGETS[kind].items() if c in df.columns), F.lit(0))
+    counts = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(changed), F.lit(0)).alias("cells_cleaned")).first().asDict()
+    back = {v: k for k, v in (names or {}).items()}
+    write_workbook(out.withColumnsRenamed(back), target, sheet=sheet, numbers=numbers)
+    return {"src": source, "dst": target, **counts}
+
+
 def ticket_twin(tickets: DataFrame, cleaned: DataFrame) -> tuple[DataFrame, Observation]:
     """requests.twin() and what it counted: rows, llm, fallback."""
     require(tickets, ("instance", "ticketnumber", "description"))

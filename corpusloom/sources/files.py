@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +51,19 @@ def read_map(path: str) -> dict[str, str]:
     return json.loads(Path(path).read_text(encoding="utf-8")).get("map", {}) if Path(path).exists() else {}
 
 
+def load_env(path: str = ".env") -> dict[str, str]:
+    """Settings of a file of NAME=value lines, without quotes around values; those that the
+    environment has already stay as they are."""
+    found = {}
+    for line in Path(path).read_text(encoding="utf-8").splitlines() if Path(path).exists() else []:
+        name, equals, value = line.strip().removeprefix("export ").partition("=")
+        if equals and not name.startswith("#"):
+            value = value.strip()
+            quoted = len(value) > 1 and value[0] == value[-1] and value[0] in "\"'"
+            found[name.strip()] = os.environ.setdefault(name.strip(), value[1:-1] if quoted else value)
+    return found
+
+
 def read_document(path: str) -> dict:
     if not Path(path).exists():
         raise FileNotFoundError(f"{path}: run the sweep first")

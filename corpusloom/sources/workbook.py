@@ -86,12 +86,19 @@ def write_rows(header: list[str], rows: Iterable[Iterable[object]], sheet: str =
         book.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="r1" Type="{office}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>')
         with book.open("xl/worksheets/sheet1.xml", "w") as part:
             part.write(f'<worksheet xmlns="{main}"><sheetData>'.encode())
-            for row in (header, *rows) if isinstance(rows, (list, tuple)) else _with_header(header, rows):
+            for row in _with_header(header, rows):
                 part.write(f"<row>{''.join(map(cell, row))}</row>".encode())
             part.write(b"</sheetData></worksheet>")
     return out.getvalue()
 
 
+def _number(value: object) -> object:
+    try:
+        return float(value) if isinstance(value, str) else value
+    except ValueError:
+        return value
+
+
 def _with_header(header: list[str], rows: Iterable[Iterable[object]]) -> Iterator[Iterable[object]]:
     yield header
     yield from rows
@@ -134,10 +141,13 @@ def read_workbook(spark: SparkSession, path: str, *, sheet: str = "Export", name
     return df.withColumnsRenamed(names or {})
 
 
-def write_workbook(df: DataFrame, path: str, *, sheet: str = "Export") -> None:
+def write_workbook(df: DataFrame, path: str, *, sheet: str = "Export", numbers: tuple[str, ...] = ()) -> None:
     """``df`` in the order of ``_row``, which isn't written, as one workbook. Rows come to the
-    driver partition by partition; a worksheet holds about a million at most."""
+    driver partition by partition; a worksheet holds about a million at most. Texts of the columns
+    ``numbers`` that are numbers become number cells."""
     ordered = df.orderBy("_row").drop("_row") if "_row" in df.columns else df
-    data = write_rows(ordered.columns, (tuple(r) for r in ordered.toLocalIterator()), sheet)
+    at = {i for i, c in enumerate(ordered.columns) if c in numbers}
+    rows = ([_number(v) if i in at else v for i, v in enumerate(r)] for r in ordered.toLocalIterator())
+    data = write_rows(ordered.columns, rows, sheet)
     with open(path, "wb") as f:
         f.write(data)

@@ -120,6 +120,20 @@ def test_batches(spark):
     assert len(list(X.batches([6000] * 500))) == 13
 
 
+class Letters:
+    def encode(self, text):
+        return [ord(c) for c in text]
+
+    def decode(self, ids):
+        return "".join(map(chr, ids))
+
+
+def test_inputs_are_cut_by_tokens(spark):
+    df = spark.createDataFrame([("abc",), ("x" * 30_000,), (None,), ("",)], "t string")
+    got = [r[0] for r in df.select(X.prepare_with(Letters())(F.col("t"))).collect()]
+    assert [(len(x.text), x.size) for x in got] == [(3, 3), (8000, 8000), (0, 0), (0, 0)]
+
+
 class Picky(X.StubEmbedder):
     def embed(self, keys, texts):
         if len(keys) > 3:

@@ -58,6 +58,27 @@ def test_clean_table(spark, tmp_path):
     assert out.columns == df.columns and [tuple(r) for r in out.orderBy("i").collect()] == [(1, "a b", "keep  me"), (2, "ok", None), (3, "", "x")]
 
 
+def test_clean_workbook_keeps_all_else(spark, tmp_path):
+    a, b = str(tmp_path / "a.xlsx"), str(tmp_path / "b.xlsx")
+    df = spark.createDataFrame([(0, "x  y<br>", 1.5, " as is "), (1, None, 2.0, None)], "_row long, `all[description]` string, hours double, other string")
+    workbook.write_workbook(df, a)
+    got = cleaning.clean_workbook(spark, a, b, "tickets", names={"all[description]": "description"}, numbers=("hours",))
+    assert (got["rows"], got["cells_cleaned"]) == (2, 1)
+    with open(b, "rb") as f:
+        assert list(workbook.read_rows(f.read(), "Export")) == [["all[description]", "hours", "other"], ["x y", "1.5", " as is "], ["", "2.0", None]]
+    with open(a, "rb") as f, pytest.raises(ValueError, match="no sheet"):
+        list(workbook.read_rows(f.read(), "Other"))
+
+
+def test_load_env(tmp_path, monkeypatch):
+    monkeypatch.setenv("CL_A", "kept")
+    for name in ("CL_B", "CL_C"):
+        monkeypatch.delenv(name, raising=False)
+    (tmp_path / ".env").write_text("# note\nCL_A=new\nexport CL_B=\"two words\"\nCL_C= x=y \nnonsense\n")
+    assert files.load_env(str(tmp_path / ".env")) == {"CL_A": "kept", "CL_B": "two words", "CL_C": "x=y"}
+    assert files.load_env(str(tmp_path / "none")) == {}
+
+
 class Service:
     def __init__(self):
         self.sent, self.ready = {}, False
