@@ -55,6 +55,11 @@ def small_bpe(ranks: int = 1024) -> tiktoken.Encoding:
     return encoding(ranks=ranks)
 
 
+def spaced_ids(ranks: int) -> np.ndarray:
+    """Whether each id of the small vocabulary begins with a space."""
+    return np.array([small_bpe(ranks).decode_single_token_bytes(i).startswith(b" ") for i in range(ranks)])
+
+
 class WordTokenizer:
     def __init__(self, path: str = BYTE_BPE, ranks: str = BYTE_RANKS):
         self._tokenizer = Tokenizer.from_file(path)

@@ -98,33 +98,45 @@ def normalise(texts: list[str], codes: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return out, kept + ORDER - 1
 
 
-def gram_keys(codes: np.ndarray) -> np.ndarray:
-    """Keys of the ORDER-grams that end at each place from ORDER - 1 on."""
-    n = len(codes) - ORDER + 1
+def gram_keys(codes: np.ndarray, order: int = ORDER) -> np.ndarray:
+    """Keys of the grams of ``order`` that end at each place from ``order`` - 1 on."""
+    n = len(codes) - order + 1
     key = np.zeros(max(n, 0), np.uint64)
-    for i in range(ORDER):
+    for i in range(order):
         key = key << np.uint64(BITS) | codes[i : i + n].astype(np.uint64)
     return key
 
 
+def marked_probs(model: Model, heads: np.ndarray, shortest: float) -> np.ndarray:
+    """The probability of a marked letter after each context of the longest order."""
+    out, todo = np.full(len(heads), shortest, np.float32), np.arange(len(heads))
+    for i, table in enumerate(model.contexts):
+        at = table.find(heads[todo] & _mask(len(model.contexts) - i))
+        out[todo[at >= 0]] = table.rows[at[at >= 0], -1]
+        todo = todo[at < 0]
+    return out
+
+
 def _mask(order: int) -> np.uint64:
     return np.uint64((1 << BITS * order) - 1)
 
 
-def kneser_ney(counts: list[tuple[np.ndarray, np.ndarray]], letters: int, least: int = 1) -> tuple[list[HashArray], list[HashArray]]:
-    """Tables from each language's sorted ORDER-grams and their counts. Those counted fewer than
-    ``least`` times are left to the shorter orders."""
+def kneser_ney(counts: list[tuple[np.ndarray, np.ndarray]], letters: int, least: int = 1, longest: int = ORDER, marked: np.ndarray | None = None) -> tuple[list[HashArray], list[HashArray]]:
+    """Tables from each language's sorted grams of order ``longest`` and their counts. Those counted fewer than
+    ``least`` times are left to the shorter orders. With ``marked``, which says of each letter if it is,
+    rows of contexts end with each language's probability of a marked letter next."""
     by_order: list[list[tuple[np.ndarray, np.ndarray]]] = [counts]
-    for order in range(ORDER - 1, 0, -1):  # how many grams a shorter one ends
+    for order in range(longest - 1, 0, -1):  # how many grams a shorter one ends
         by_order.append([tuple(np.unique(keys & _mask(order), return_counts=True)) for keys, _ in by_order[-1]])
-    grams, contexts, lower, below = [], [], None, None
-    for order in range(1, ORDER + 1):
-        own = by_order[ORDER - order]
-        kept = [n >= (least if order == ORDER else 1) for _, n in own]
+    grams, contexts, lower, below, above = [], [], None, None, None
+    for order in range(1, longest + 1):
+        own = by_order[longest - order]
+        kept = [n >= (least if order == longest else 1) for _, n in own]
         union = np.unique(np.concatenate([k[on] for (k, _), on in zip(own, kept, strict=True)]))
         heads = np.unique(np.concatenate([k >> np.uint64(BITS) for k, _ in own]))
         weight = np.ones((len(heads), len(own)))
         share = np.zeros((len(union), len(own)))
+        mark = np.zeros((len(heads), len(own)))
         for j, (keys, n) in enumerate(own):
             if not len(keys):
                 continue
@@ -135,13 +147,18 @@ def kneser_ney(counts: list[tuple[np.ndarray, np.ndarray]], letters: int, least:
             on = kept[j]
             own_share = (n[on] - d) / total[at[on]]
             share[np.searchsorted(union, keys[on]), j] = own_share
+            if marked is not None:
+                mark[:, j] = np.bincount(at[on], own_share * marked[(keys[on] & _mask(1)).astype(np.intp)], len(heads))
             # what the grams that are kept leave: their discounts, and all of the others
             weight[kinds > 0, j] = (d * kinds[kinds > 0] + np.bincount(at[~on], n[~on] - d, len(heads))[kinds > 0]) / total[kinds > 0]
         base = 1 / (letters + 2) if order == 1 else below[np.searchsorted(lower, union & _mask(order - 1))]
         prob = share + weight[np.searchsorted(heads, union >> np.uint64(BITS))] * base
         grams.insert(0, hash_array(union, np.log(prob)))
+        if marked is not None:
+            mark += weight * (marked.sum() / (letters + 2) if order == 1 else above[1][np.searchsorted(above[0], heads & _mask(order - 2))])
+            above = heads, mark
         if order > 1:
-            contexts.insert(0, hash_array(heads, np.log(weight)))
+            contexts.insert(0, hash_array(heads, np.log(weight) if marked is None else np.hstack([np.log(weight), mark])))
         else:
             unknown = np.log(weight[0] / (letters + 2))
         lower, below = union, prob
@@ -157,14 +174,14 @@ def log_probs(model: Model, keys: np.ndarray) -> np.ndarray:
     todo = np.flatnonzero(at < 0)
     if len(todo):
         out[todo] = 0
-    for i in range(1, ORDER):
+    for i in range(1, len(model.grams)):
         if not len(todo):
             break
-        order = ORDER - i
+        order = len(model.grams) - i
         key = keys[todo]
         head = model.contexts[i - 1].find(key >> np.uint64(BITS) & _mask(order))
         known = head >= 0
-        out[todo[known]] += model.contexts[i - 1].rows[head[known]]
+        out[todo[known]] += model.contexts[i - 1].rows[head[known], : out.shape[1]]
         at = model.grams[i].find(key & _mask(order))
         hit = at >= 0 if order > 1 else np.ones(len(at), bool)
         out[todo[hit]] += model.grams[i].rows[at[hit]]  # -1 is the last row
