@@ -29,8 +29,8 @@ from corpusloom.llm._store import materialise, small_batches
 
 WORDS, PERCENT = 5, 75
 #: Keys of each collection. A pair at the threshold is found with probability
-#: (1 - (1 - 0.75 ** 2) ** SIDE) ** 2 = 0.9995, nearer pairs with more.
-SIDE = 10
+#: (1 - (1 - 0.75 ** 2) ** SIDE) ** 2 = 0.9999, nearer pairs with more.
+SIDE = 12
 #: Buckets' leaders that a class is compared with at first; the largest bucket whose open pairs are listed;
 #: members of a block where larger buckets are compared.
 PICKS, DENSE, BLOCK = 3, 24, 512
