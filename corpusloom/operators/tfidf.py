@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from corpusloom.functions.labels import label_tokens
 
@@ -29,5 +30,5 @@ def token_weights(records: DataFrame, *, min_df: int = 2, synonyms: dict[str, st
     idf = rows.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") >= min_df)
     idf = idf.crossJoin(F.broadcast(total)).select("token", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))  # one row
     raw = rows.join(idf, "token").withColumn("w", F.col("tf") * F.col("idf"))
-    norm = raw.groupBy("ticket_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return raw.join(norm, "ticket_id").select("ticket_id", "token", (F.col("w") / F.col("norm")).alias("weight"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("ticket_id")))  # a ticket has few tokens
+    return raw.select("ticket_id", "token", (F.col("w") / norm).alias("weight"))
