@@ -5,18 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm._store import materialise
+from corpusloom.llm._store import drop, materialise
 
 
-def _stars(edges: DataFrame, large: bool) -> DataFrame:
-    """One star step: neighbours are linked with the least of them."""
+def _stars(edges: DataFrame, large: bool) -> tuple[DataFrame, DataFrame]:
+    """One star step: neighbours are linked with the least of them. The second table is read by the first."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
     # written, so that the join below deals both sides anew and Spark can split the rows of a hub
     least = materialise(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "least")
     out = both.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     if large:
-        return out.filter(F.col("u") > F.col("v")).distinct()
-    return out.unionByName(least.select("u", F.col("m").alias("v"))).filter(F.col("u") > F.col("v")).distinct()
+        return out.filter(F.col("u") > F.col("v")).distinct(), least
+    return out.unionByName(least.select("u", F.col("m").alias("v"))).filter(F.col("u") > F.col("v")).distinct(), least
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -24,7 +24,10 @@ def components(edges: DataFrame) -> DataFrame:
     now = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter(F.col("u") > F.col("v")).distinct()
     now, before = materialise(now, "edges"), None
     while True:
-        now = materialise(_stars(_stars(now, True), False), "edges")
+        large, a = _stars(now, True)
+        small, b = _stars(large, False)
+        old, now = now, materialise(small, "edges")
+        drop(old, a, b)
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if seen == before:
             break

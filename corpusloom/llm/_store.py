@@ -30,7 +30,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     executor costs a re-read and not a recomputation."""
     path = f"{shared_dir(df.sparkSession)}/corpusloom-{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def drop(*tables: DataFrame) -> None:
+    """Deletes tables of materialise() that nothing reads any more, so that the shared folder
+    holds only what results still depend on."""
+    for table in tables:
+        spark, path = table.sparkSession, table.scratch_path.rpartition("/")[0]
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm._components import components
-from corpusloom.llm._store import materialise, small_batches
+from corpusloom.llm._store import drop, materialise, small_batches
 
 WORDS, PERCENT = 5, 75
 #: Keys of each collection. A pair at the threshold is found with probability
@@ -235,16 +235,20 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def table_buckets(classes: DataFrame) -> DataFrame:
-    """table, cls and weight for all members of buckets of two classes or more. The weight of a
-    class is the size of all its buckets: the text that near copies were made from has most."""
+def class_tables(classes: DataFrame) -> DataFrame:
+    """cls and table for the pairs of those of a class's halves that another class has too."""
     halves = classes.select("cls", "keys").mapInArrow(_half_rows, "cls long, half int, key long")
     shared = halves.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("key")
     met = halves.join(shared, "key", "left_semi").groupBy("cls").agg(F.collect_list(F.struct("half", "key")).alias("h"))
     a = F.filter("h", lambda x: x["half"] < SIDE)
     b = F.filter("h", lambda x: x["half"] >= SIDE)
     tables = F.flatten(F.transform(a, lambda x: F.transform(b, lambda y: F.xxhash64(x["key"], y["key"]))))
-    rows = materialise(met.select("cls", F.explode(tables).alias("table")), "tables")
+    return met.select("cls", F.explode(tables).alias("table"))
+
+
+def table_buckets(rows: DataFrame) -> DataFrame:
+    """table, cls and weight for all members of buckets of two classes or more. The weight of a
+    class is the size of all its buckets: the text that near copies were made from has most."""
     sizes = rows.groupBy("table").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
     # at most SIDE * SIDE tables of a class
     members = rows.join(sizes, "table").groupBy("cls").agg(F.sum("k").alias("weight"), F.collect_list("table").alias("t"))
@@ -259,7 +263,9 @@ def _chosen(pairs: DataFrame, order: Column, most: int) -> DataFrame:
 
 def merge_classes(classes: DataFrame, docs: DataFrame) -> DataFrame:
     """cls and comp for the classes that links to other classes reach."""
-    buckets = materialise(table_buckets(classes), "buckets")
+    tables = materialise(class_tables(classes), "tables")
+    buckets = materialise(table_buckets(tables), "buckets")
+    drop(tables)
     sizes = classes.select("cls", "n")
     met = buckets.select("cls").distinct().join(classes.select("cls", "first"), "cls")
     # a text of each class that shares a bucket; of rows that repeat an id, the one of the class
@@ -283,13 +289,15 @@ def merge_classes(classes: DataFrame, docs: DataFrame) -> DataFrame:
     x, y = sparse.toDF("table", "u", "cu"), sparse.toDF("table", "v", "cv")
     pairs = x.join(y, "table").filter("u < v and cu != cv").select("u", "v").distinct()
     known = done.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    more = checked(pairs.join(known, ["u", "v"], "left_anti")).filter("ok").select("u", "v")
+    listed = checked(pairs.join(known, ["u", "v"], "left_anti"))
+    more = listed.filter("ok").select("u", "v")
     dense = open_.filter(F.col("k") > DENSE)
     if dense.head(1):
         more = more.unionByName(materialise(compare_dense(dense, texts), "dense_links"))
-    if not more.head(1):
-        return labels
-    return components(done.filter("ok").select("u", "v").unionByName(more)).select(F.col("node").alias("cls"), "comp")
+    if more.head(1):
+        labels = components(done.filter("ok").select("u", "v").unionByName(more)).select(F.col("node").alias("cls"), "comp")
+    drop(buckets, texts, done, open_, listed)
+    return labels
 
 
 def compare_dense(rows: DataFrame, texts: DataFrame) -> DataFrame:
