@@ -22,6 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents for work that costs far more a row than moving it: a table with fewer splits than
+    cores, which is then a small one, is dealt over all of them."""
+    df, cores = table(spark, sf_dir, "documents"), spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 # ---------------------------------------------------------------- records
 
 
@@ -87,7 +94,7 @@ def noisy(c: Column, key: Column) -> Column:
 
 def _cleaned(fn):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        d = table(spark, sf_dir, "documents")
+        d = texts(spark, sf_dir)
         c = fn(noisy(F.col("text"), F.col("doc_id")))
         return d.select("doc_id", F.length(c).cast("long").alias("n"), F.md5(c).alias("hash"))
 
@@ -130,19 +137,19 @@ def q_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
     def count(kind: str) -> Column:
         return F.size(F.filter(found, lambda x: x["kind"] == kind)).alias(kind)
 
-    return table(spark, sf_dir, "documents").select("doc_id", *map(count, ("email", "ipv4", "iban", "url_creds")))
+    return texts(spark, sf_dir).select("doc_id", *map(count, ("email", "ipv4", "iban", "url_creds")))
 
 
 def q_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, n = privacy.blank_prose(F.col("text"))
-    return table(spark, sf_dir, "documents").select("doc_id", out.alias("text"), n.alias("n"))
+    return texts(spark, sf_dir).select("doc_id", out.alias("text"), n.alias("n"))
 
 
 # ---------------------------------------------------------------- requests
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
+    d = texts(spark, sf_dir)
     rows = d.select(F.lit("d").alias("instance"), F.col("doc_id").cast("string").alias("ticketnumber"), F.col("text").alias("description"), F.col("doc_id").alias("_row"))
     return requests.descriptions(rows)
 
@@ -171,7 +178,7 @@ def q_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_twin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
+    d = texts(spark, sf_dir)
     rows = d.select(F.lit("d").alias("instance"), F.col("doc_id").cast("string").alias("ticketnumber"), F.col("text").alias("description"), "doc_id")
     return requests.twin(rows, cache(spark, sf_dir)).select("doc_id", "by_model", F.md5("description").alias("hash"))
 
