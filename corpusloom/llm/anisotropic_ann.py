@@ -5,7 +5,8 @@ most, so it is penalised ``ETA`` times as much as error across it. Codebooks of
 each pair of components are fitted by alternating assignment and least squares under that loss.
 Every row is stored as four-bit codes. A search reads inner products of the codes from tables,
 turns them into distances with exact norms, and ranks the best of each group again by exact
-distance on the original vectors.
+distance on the original vectors. Then every row is ranked again that can't be told from the k best by its
+code: a row is at least as far as its code's centre less the distance between the two.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from corpusloom.llm._store import materialise
 
 #: Components of a subspace, centres of a codebook (four bits), rows of the training sample.
 SUB, CENTRES, SAMPLE = 2, 16, 10_000
-#: Weight of parallel error; rows of a group that are ranked again; queries scanned at once.
+#: Weight of parallel error; rows of a group that are ranked again first; queries scanned at once.
 ETA, RERANK, BATCH = 4.0, 160, 64
 _OUT = -(1 << 62)
 
@@ -102,8 +103,8 @@ def nearest(df: DataFrame, *, k: int = 10, every: int = 100, rerank: int = RERAN
     Queries are the rows whose id is divisible by ``every``, against every row of another id.
     Rows with a null id, with a null, empty or zero vector, or with a null or non-finite
     component take no part; missing components of shorter vectors are zero. Rows that repeat an
-    id are one query but each a candidate. Equal vectors have equal codes, and those of smaller
-    id are ranked again first. Other columns are ignored.
+    id are one query but each a candidate. However many rows have equal or near codes, all that the
+    bound leaves are ranked again. Other columns are ignored.
     """
     index, books, width = build_index(materialise(usable(df, id_col, vector_col), "ann_vectors"))
 
@@ -114,6 +115,8 @@ def nearest(df: DataFrame, *, k: int = 10, every: int = 100, rerank: int = RERAN
         codes = np.empty((2 * packed.shape[1], n), np.intp)
         codes[::2], codes[1::2] = (packed & 15).T, (packed >> 4).T
         half = ((x * x).sum(axis=1) / 2).astype(np.float32)
+        centre = np.concatenate([books[s][codes[s]] for s in range(len(books))], axis=1)
+        error, square = np.sqrt(((x - centre) ** 2).sum(axis=1)), (centre * centre).sum(axis=1)
         wanted, asked = queries["vec_id"].to_numpy(), padded(queries["vector"], width, np.float64)
         found = []
         for at in range(0, len(asked), BATCH):
@@ -128,6 +131,13 @@ def nearest(df: DataFrame, *, k: int = 10, every: int = 100, rerank: int = RERAN
             top = top_by_key(key, max(rerank, k))
             for i, there in enumerate(top):
                 there = there[key[i, there] != _OUT]
+                if len(there) < (key[i] != _OUT).sum():
+                    far = np.sqrt(((x[there] - q[i]) ** 2).sum(axis=1))
+                    sizes = square + (q[i] * q[i]).sum()
+                    # the products are single precision
+                    apart = sizes - 2 * (score[i].astype(np.float64) + half) - 1e-5 * (sizes + 2 * half)
+                    nearest_possible = np.sqrt(np.maximum(apart, 0)) - error
+                    there = np.flatnonzero(~(nearest_possible > np.partition(far, k - 1)[k - 1] * (1 + 1e-9)) & (key[i] != _OUT))
                 far = np.sqrt(((x[there] - q[i]) ** 2).sum(axis=1))
                 there, far = (a[np.lexsort((ids[there], far))[:k]] for a in (there, far))
                 found.append((own[i], ids[there], far))

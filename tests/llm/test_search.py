@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 
+from corpusloom.llm import _blocks
 from corpusloom.llm import anisotropic_ann as A
 from corpusloom.llm import exact_topk as E
 
@@ -96,6 +97,23 @@ def test_recall_with_little_ranked_again(spark):
     assert len(by) == 30 and hits / total >= 0.9
 
 
+def test_all_neighbours_are_found_among_near_copies(spark, monkeypatch):
+    """A group of production size of which a third is near one vector."""
+    monkeypatch.setattr(_blocks, "LEAST_GROUPS", 1)
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((_blocks.GROUP_ROWS, 32))
+    x[rng.random(len(x)) < 1 / 3] = rng.standard_normal(32)
+    x = (x + 0.001 * rng.standard_normal(x.shape)).astype(np.float32)
+    by = {}
+    for r in A.nearest(table(spark, [(i, v.tolist()) for i, v in enumerate(x)])).collect():
+        by.setdefault(r.query_id, set()).add(r.vec_id)
+    assert len(by) == 82
+    for q, found in by.items():
+        d = ((x.astype(float) - x[q]) ** 2).sum(axis=1)
+        d[q] = np.inf
+        assert found == set(np.argsort(d, kind="stable")[:10].tolist())
+
+
 def test_anisotropic_codes_keep_parallel_error_small():
     rng = np.random.default_rng(4)
     x = rng.standard_normal((800, 16))
