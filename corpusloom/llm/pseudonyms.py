@@ -27,14 +27,20 @@ PATTERNS = {
     "secret": r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9_-]{20,100})(?![A-Za-z0-9])",
     "assigned": r"(?i)(?<![A-Za-z0-9])(?:password|passwd|pwd|secret|token|api[_-]?key)[ \t]{0,3}[=:][ \t]{0,3}(?:\"[^\"\s]{6,200}\"|'[^'\s]{6,200}'|[^\s\"',;]{6,200})(?-i)",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "card": r"(?<![0-9.])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone": r"(?<![0-9A-Za-z])(?:\+1[ .-]?[0-9]{3}[ .-]|(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[2-9][0-9]{2}[ .-]))[0-9]{3}[ .-][0-9]{4}(?![0-9])",
     "international": r"(?<![0-9A-Za-z])\+[1-9][0-9](?:[ ().-]{0,2}[0-9]){6,12}(?![0-9])",
     "ipv4": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
     "date": r"(?<![0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9/-])",
 }
+# Last, so that numbers of other kinds end a run: groups of digits, in which cards are looked for.
+_OTHERS = "|".join(f"(?:{PATTERNS[k]})" for k in ("ssn", "phone", "date"))
+PATTERNS["card"] = rf"(?<![0-9.])[0-9](?:[0-9 -](?<![ -](?![0-9]))(?<![ -](?={_OTHERS}))){{12,}}"
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: What is looked for inside an account number that fails its check; its groups of four leave no room for other kinds.
+INNER = ("card",)
+#: Groupings of cards.
+GROUPED = r"\A(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}(?:[ -][0-9]{1,3})?|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})\z"
 #: A text without any of these holds no candidate.
 HINT = r"[0-9][0-9.]|@|-----BEGIN|(?i:pass|pwd|secret|token|key)"
 
@@ -120,6 +126,36 @@ def _card(m: Column, key: str) -> Column:
     return F.when(ok, _refill(m, F.concat(new, check.cast("string"))))
 
 
+def _cards(m: Column, key: str) -> Column:
+    """A run of groups of digits with its cards replaced, and their number: at each group the first real
+    grouping that is valid, or else the whole run if that is a card."""
+    # lists of one bind what is computed once
+    split = F.array(F.regexp_extract_all(m, F.lit("[0-9]+|[ -]"), F.lit(0)))
+    run = F.transform(split, lambda t: F.struct(t.alias("t"), F.floor((F.size(t) + 1) / 2).cast("int").alias("groups"), F.length(F.array_join(F.filter(t, lambda c: c.rlike("[0-9]")), "")).between(13, 19).alias("number")))
+    return F.get(F.filter(F.transform(run, lambda r: _run_cards(r["t"], r["groups"], r["number"], key)), lambda x: x["n"] > 0), F.lit(0))
+
+
+def _run_cards(tokens: Column, groups: Column, number: Column, key: str) -> Column:
+    def at_group(i: Column) -> Column:
+        spans = F.transform(F.array(F.lit(1), F.lit(4), F.lit(5), F.lit(3), groups), lambda n: F.struct(n.alias("n"), F.array_join(F.slice(tokens, 2 * i + 1, 2 * n - 1), "").alias("s")))
+        ok = F.filter(spans, lambda x: (i + x["n"] <= groups) & (x["s"].rlike(GROUPED) | (number & (x["n"] == groups))) & (F.pmod(_luhn_sum(_digits(x["s"]), False), F.lit(10)) == 0))
+        return F.transform(F.slice(ok, 1, 1), lambda x: F.struct(x["n"].alias("n"), _card(x["s"], key).alias("p")))
+
+    def step(state: Column, x: Column) -> Column:
+        card, free = F.get(x["found"], F.lit(0)), x["i"] >= state["next"]
+        taken = free & card.isNotNull()
+        before = F.when(x["i"] > 0, F.get(tokens, 2 * x["i"] - 1)).otherwise("")
+        return F.struct(
+            F.when(taken, x["i"] + card["n"]).otherwise(state["next"]).alias("next"),
+            F.when(free, F.concat(state["p"], before, F.coalesce(card["p"], F.get(tokens, 2 * x["i"])))).otherwise(state["p"]).alias("p"),
+            (state["n"] + taken.cast("int")).alias("n"),
+        )
+
+    found = F.transform(F.sequence(F.lit(0), groups - 1), lambda i: F.struct(i.alias("i"), at_group(i).alias("found")))
+    start = F.struct(F.lit(0).alias("next"), F.lit("").alias("p"), F.lit(0).alias("n"))
+    return F.aggregate(found, start, step, lambda x: F.struct(x["p"].alias("p"), x["n"].alias("n")))
+
+
 def _ssn_ok(x: Column) -> Column:
     area, group, serial = F.floor(x / 1_000_000), F.pmod(F.floor(x / 10_000), F.lit(100)), F.pmod(x, F.lit(10_000))
     return (area > 0) & (area != 666) & (area < 900) & (group > 0) & (serial > 0)
@@ -182,46 +218,68 @@ def _digest(m: Column, kind: str, key: str) -> Column:
     return F.substring(F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), m), 256), 1, 16)
 
 
-def _replacement(m: Column, key: str) -> Column:
-    """The pseudonym of a candidate; null if it isn't valid."""
-    whole = lambda kind: m.rlike(r"\A(?:" + PATTERNS[kind] + r")\z")
+def _replacement(m: Column, key: str, kinds: tuple[str, ...] = tuple(PATTERNS)) -> Column:
+    """p, the pseudonym of a candidate, and n, how many values it replaces; null if none is valid."""
+    whole = lambda kind: m.rlike(r"\A[0-9][0-9 -]{12,}\z" if kind == "card" else r"\A(?:" + PATTERNS[kind] + r")\z")
     assigned = r"(?s)^(.*?[=:][ \t]*[\"']?)(.*?)([\"']?)$"
     made = {
-        "private_key": F.concat(F.lit("[KEY:"), _digest(m, "secret", key), F.lit("]")),
-        "email": F.concat(F.lit("u"), _digest(F.lower(m), "email", key), F.lit("@example.invalid")),
-        "secret": F.concat(F.lit("[SECRET:"), _digest(m, "secret", key), F.lit("]")),
-        "assigned": F.concat(F.regexp_extract(m, assigned, 1), F.lit("[SECRET:"), _digest(F.regexp_extract(m, assigned, 2), "secret", key), F.lit("]"), F.regexp_extract(m, assigned, 3)),
-        "iban": _iban(m, key),
-        "card": _card(m, key),
-        "ssn": _ssn(m, key),
-        "phone": _phone(m, key),
-        "international": _international(m, key),
-        "ipv4": _ipv4(m, key),
-        "date": _date(m, key),
+        "private_key": lambda: F.concat(F.lit("[KEY:"), _digest(m, "secret", key), F.lit("]")),
+        "email": lambda: F.concat(F.lit("u"), _digest(F.lower(m), "email", key), F.lit("@example.invalid")),
+        "secret": lambda: F.concat(F.lit("[SECRET:"), _digest(m, "secret", key), F.lit("]")),
+        "assigned": lambda: F.concat(F.regexp_extract(m, assigned, 1), F.lit("[SECRET:"), _digest(F.regexp_extract(m, assigned, 2), "secret", key), F.lit("]"), F.regexp_extract(m, assigned, 3)),
+        "iban": lambda: _iban(m, key),
+        "ssn": lambda: _ssn(m, key),
+        "phone": lambda: _phone(m, key),
+        "international": lambda: _international(m, key),
+        "ipv4": lambda: _ipv4(m, key),
+        "date": lambda: _date(m, key),
     }
-    out = F.lit(None).cast("string")
-    for kind in reversed(PATTERNS):
-        out = F.when(whole(kind), made[kind]).otherwise(out)
+    one = lambda p: F.when(p.isNotNull(), F.struct(p.alias("p"), F.lit(1).alias("n")))
+    out = F.lit(None).cast("struct<p:string,n:int>")
+    for kind in reversed(kinds):
+        new = _cards(m, key) if kind == "card" else one(made[kind]())
+        if kind == "iban":
+            new = F.coalesce(new, _inside(m, key))
+        out = F.when(whole(kind), new).otherwise(out)
     return out
 
 
+def _found(text: Column, pattern: str, key: str, kinds: tuple[str, ...]) -> Column:
+    return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.struct(m.alias("m"), _replacement(m, key, kinds).alias("r")))
+
+
+def _joined(text: Column, pattern: str, found: Column) -> Column:
+    parts = F.split(text, pattern, -1)
+    tail = F.zip_with(F.slice(parts, F.lit(2), F.size(found)), found, lambda s, x: F.concat(F.coalesce(x["r"]["p"], x["m"]), s))
+    return F.concat(F.element_at(parts, 1), F.array_join(tail, ""))
+
+
+def _number(found: Column) -> Column:
+    return F.aggregate(found, F.lit(0), lambda a, x: a + F.coalesce(x["r"]["n"], F.lit(0)))
+
+
+def _inside(m: Column, key: str) -> Column:
+    """What later kinds make of a candidate that failed."""
+    pattern = "|".join(f"(?:{PATTERNS[k]})" for k in INNER)
+    # a list of one, so that what is found is computed once
+    once = F.transform(F.array(_found(m, pattern, key, INNER)), lambda f: F.struct(_joined(m, pattern, f).alias("p"), _number(f).alias("n")))
+    return F.get(F.filter(once, lambda x: x["n"] > 0), F.lit(0))
+
+
 def pseudonymise(df: DataFrame, text_col: str = "text", key: str | None = None) -> DataFrame:
     """``df`` with pseudonyms in ``text_col`` and their number in ``n_pii`` (int).
 
     ``key`` comes from the setting spark.corpusloom.pii.key if it isn't given. Candidates that
-    fail validation stay as they are. Null texts stay null with n_pii 0, empty texts empty. Texts
+    fail validation stay as they are, but for valid values inside runs of digits and failed account numbers. Null texts stay null with n_pii 0, empty texts empty. Texts
     are taken whole, however long; rows are independent, so repeated rows give repeated results.
     Other columns pass through; one named n_pii is replaced.
     """
     key = key or df.sparkSession.conf.get("spark.corpusloom.pii.key", DEFAULT_KEY)
     text = F.col(text_col)
-    found = F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda m: F.struct(m.alias("m"), _replacement(m, key).alias("p")))
+    found = _found(text, ANY, key, tuple(PATTERNS))
     rows = df.drop("n_pii").withColumn("_found", F.when(text.rlike(HINT), found))
-    valid = F.size(F.filter("_found", lambda x: x["p"].isNotNull()))
-    rows = rows.withColumn("n_pii", F.coalesce(F.when(F.col("_found").isNotNull(), valid), F.lit(0)))
-    parts = F.split(text, ANY, -1)
-    tail = F.zip_with(F.slice(parts, F.lit(2), F.size("_found")), "_found", lambda s, x: F.concat(F.coalesce(x["p"], x["m"]), s))
-    new = F.concat(F.element_at(parts, 1), F.array_join(tail, ""))
+    rows = rows.withColumn("n_pii", F.coalesce(_number(F.col("_found")), F.lit(0)))
+    new = _joined(text, ANY, F.col("_found"))
     return rows.withColumn(text_col, F.when(F.col("n_pii") > 0, new).otherwise(text)).drop("_found")
 
 
