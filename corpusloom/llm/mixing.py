@@ -67,12 +67,21 @@ def round_pivotal(size: np.ndarray, part: np.ndarray, draw: np.ndarray) -> tuple
     return out, int(held)
 
 
+def draws(order: np.ndarray) -> np.ndarray:
+    """A uniform number for each row of a block, by its place and its hash ``order``. It doesn't follow the hash that
+    sorts rows, nor agree for rows that are alike."""
+    x = order.view(np.uint64) * np.uint64(0xD1B54A32D192ED03) + np.arange(1, len(order) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for shift, odd in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(odd)
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) / 2.0**53
+
+
 def _rounder(last: bool):
     def rounded(groups: pd.DataFrame) -> pd.DataFrame:
         # large rows first, so that the one left at the end is mostly a small one
         groups = groups.sort_values(["_rank", "_size", "_order"], ascending=[True, False, True], kind="stable").reset_index(drop=True)
         part, open_ = groups["_part"].to_numpy(copy=True), np.zeros(len(groups), bool)
-        draw = (groups["_order"].to_numpy().view(np.uint64) >> np.uint64(11)).astype(np.float64) / 2.0**53
+        draw = draws(groups["_order"].to_numpy())
         for at in groups.groupby("_rank", sort=False).indices.values():
             got, held = round_pivotal(groups["_size"].to_numpy(np.float64)[at], part[at], draw[at])
             if held >= 0 and last:
@@ -91,10 +100,11 @@ def mix(df: DataFrame, *, id_col: str = "doc_id", source_col: str = "source", si
 
     ``size_col`` is the row's weight (long, not null). Rows without words take no part: 0 copies.
     A null source is a source of its own, last in order. The list of sources and their sizes is
-    metadata and goes to the driver. Ties and repeated rows are rounded each for themselves;
-    rows alike in id and size are interchangeable, so reruns agree whatever the partitioning.
-    Empty tables give empty results; other columns pass through, those with added names are
-    replaced.
+    metadata and goes to the driver. Ties and repeated rows are rounded each for themselves. Blocks
+    come from a hash of all columns, so rows with a null or repeated id spread over them if they differ in
+    anything; rows that differ in nothing share a block and are interchangeable, so reruns agree
+    whatever the partitioning. Long texts only have a size here. Empty tables give empty results; other columns pass through, those
+    with added names are replaced.
     """
     spark = df.sparkSession
     df = df.drop("source_size", "target", "copies")
@@ -106,10 +116,10 @@ def mix(df: DataFrame, *, id_col: str = "doc_id", source_col: str = "source", si
     rows = df.join(listed, F.col(source_col).eqNullSafe(F.col("_s"))).drop("_s")
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     blocks = max(1, -(-df.count() // BLOCK_ROWS))
-    key = F.xxhash64(F.col(id_col).cast("string"), F.lit(seed))
+    key = F.xxhash64(F.col(id_col).cast("string"), *[c for c, kind in sorted(df.dtypes) if c != id_col and "map<" not in kind], F.lit(seed))
     rows = rows.withColumns(
         {
-            "_order": F.xxhash64(key, F.col(size_col), F.lit("order")),
+            "_order": F.xxhash64(key, F.lit("order")),
             "_block": F.pmod(key, F.lit(blocks)),
             "_whole": F.when(F.col(size_col) > 0, F.floor(share)).otherwise(0).cast("int"),
             "_part": F.when(F.col(size_col) > 0, share - F.floor(share)).otherwise(0.0),
@@ -144,6 +154,6 @@ def mix(df: DataFrame, *, id_col: str = "doc_id", source_col: str = "source", si
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The digest of ``docs``: doc_id, size, source_size, target, taken."""
-    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("salt"))
     got = mix(materialise(rows, "mix_sizes"))
     return got.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))

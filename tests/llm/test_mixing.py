@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -29,6 +30,33 @@ def test_pivots_keep_mass_and_expectation():
     assert np.abs(total / 3000 - part).max() < 0.05
 
 
+def test_draws_keep_expectations():
+    """Through what sorts and draws in a block: a large document is taken as often as small ones."""
+    rng, taken = np.random.default_rng(4), {90: [], 50: [], 20: []}
+    size = np.array([90] + [50] * 4 + [20] * 6)
+    rounded = M._rounder(True)
+    for _ in range(3000):
+        block = pd.DataFrame({"_rank": 0, "_size": size, "_order": rng.integers(-(1 << 63), 1 << 63, len(size)), "_part": 0.37, "_open": False})
+        got = rounded(block)
+        for n in taken:
+            taken[n] += got.loc[got["_size"] == n, "_part"].tolist()
+    for n, x in taken.items():
+        assert abs(np.mean(x) - 0.37) < (0.05 if n == 20 else 0.02), n  # a small one is left at the end, and goes to the nearer side
+    same = M.draws(np.full(1000, 7))
+    assert len(set(same)) == 1000 and abs(same.mean() - 0.5) < 0.05
+
+
+def test_rows_alike_in_id_spread_over_blocks(spark):
+    rows = [(None, "a", 10, str(i)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, size long, other string")
+    old, M.BLOCK_ROWS = M.BLOCK_ROWS, 100
+    try:
+        got = M.mix(df).collect()
+    finally:
+        M.BLOCK_ROWS = old
+    assert sum(r.copies for r in got) == 2000
+
+
 def mixed(spark, rows, blocks=40, **options):
     old, M.BLOCK_ROWS = M.BLOCK_ROWS, blocks
     try:
