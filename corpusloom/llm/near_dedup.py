@@ -177,7 +177,7 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 cls.append(class_of(s) if len(s) else None)
                 keys.append(half_keys(s).tobytes() if len(s) else None)
         made = [pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(keys, pa.binary())]
-        yield pa.RecordBatch.from_arrays([batch["doc_id"], *made], ["doc_id", "n_shingles", "cls", "keys"])
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["row"], *made], ["doc_id", "row", "n_shingles", "cls", "keys"])
 
 
 def _half_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,27 +211,34 @@ def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.select("u", "v", "own", "other").mapInArrow(_compared, "u long, v long, ok boolean")
 
 
+def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """doc_id, n_shingles, group and least of every row, and the row's ``row_col`` as ``row``. Rows of
+    one ``group`` are linked, directly or not; ``least`` is its least id that isn't null. Both are null for empty sets."""
+    small_batches(docs.sparkSession)
+    row = F.col(row_col).cast("long") if row_col else F.lit(None).cast("long")
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), row.alias("row"))
+    sketch = materialise(docs.mapInArrow(_sketched, "doc_id long, row long, n_shingles long, cls long, keys binary"), "sketch")
+    classes = sketch.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("first"), F.min("n_shingles").alias("n"), F.first("keys").alias("keys"))
+    classes = materialise(classes, "classes")
+    merged = merge_classes(classes, docs)
+    least = merged.join(classes.select("cls", "first"), "cls").groupBy("comp").agg(F.min("first").alias("least"))
+    moved = merged.join(least, "comp").select("cls", "comp", "least")
+    named = classes.select("cls", "first").join(moved, "cls", "left").select("cls", F.coalesce("comp", "cls").alias("group"), F.coalesce("least", "first").alias("least"))
+    named = materialise(named, "named")  # so that Spark can split the rows of a class with very many copies
+    return sketch.select("doc_id", "row", "n_shingles", "cls").join(named, "cls", "left").select("doc_id", "row", "n_shingles", "group", "least")
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document.
 
     Words are runs of other than ASCII white space, A-Z lower-cased. Documents whose sets have
-    100 * intersection >= 75 * union are linked; component_id is the least doc_id that links
+    100 * intersection >= 75 * union are linked, ties with 75 among them; component_id is the least doc_id that links
     reach. Without words or text a set is empty and linked with nothing. Repeated rows are
     equal sets. Rows with a null id keep a null component_id and are kept; they link others.
-    Texts are hashed whole in 64 bits. Other columns are ignored.
+    Texts are hashed whole, however long, in 64 bits. An empty table gives an empty result. Other columns are ignored.
     """
-    small_batches(docs.sparkSession)
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sketch = materialise(docs.mapInArrow(_sketched, "doc_id long, n_shingles long, cls long, keys binary"), "sketch")
-    classes = sketch.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("first"), F.min("n_shingles").alias("n"), F.first("keys").alias("keys"))
-    classes = materialise(classes, "classes")
-    merged = merge_classes(classes, docs)
-    least = merged.join(classes.select("cls", "first"), "cls").groupBy("comp").agg(F.min("first").alias("least"))
-    moved = merged.join(least, "comp").select("cls", "least")
-    named = classes.select("cls", "first").join(moved, "cls", "left").select("cls", F.coalesce("least", "first").alias("component"))
-    named = materialise(named, "named")  # so that Spark can split the rows of a class with very many copies
-    out = sketch.select("doc_id", "n_shingles", "cls").join(named, "cls", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    out = groups(docs, id_col=id_col, text_col=text_col)
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
