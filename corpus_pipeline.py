@@ -23,11 +23,14 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that of the least doc_id. Of rows that repeat
-    a doc_id all stay, as do rows without one."""
-    groups = near_dedup.near_duplicates(docs)
-    gone = groups.filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near copies: that of the least doc_id, and of rows that repeat it the
+    first. Rows are told apart by their place in the written table, so a doc_id with two texts has each judged for
+    itself; ids that are null come last. Rows without words are no copies and all stay."""
+    rows = docs.withColumn("_place", F.monotonically_increasing_id())
+    groups = near_dedup.groups(rows, row_col="_place")
+    first = groups.filter("group is not null").groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("x"))
+    stay = first.select(F.col("x.row").alias("_place")).unionByName(groups.filter("group is null").select(F.col("row").alias("_place")))
+    return rows.join(stay, "_place", "left_semi").select(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,9 +39,12 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as the mixture of sources takes it."""
-    taken = mixing.mix(docs.withColumn("size", mixing.word_count(F.col("text")))).filter("copies > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
+    """Each row as many times as the mixture of sources takes it. What is rounded is a digest of the rows; texts
+    join their numbers of copies by their place in the written table."""
+    rows = docs.withColumn("_place", F.monotonically_increasing_id())
+    digest = rows.select("_place", "doc_id", "source", mixing.word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("salt"))
+    taken = mixing.mix(materialise(digest, "mix_sizes")).filter("copies > 0").select("_place", F.col("copies").alias("_copies"))
+    return rows.join(taken, "_place").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
