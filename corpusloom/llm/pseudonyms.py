@@ -15,17 +15,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
-#: Cycle walks end long before: the least likely format is valid for four values in ten.
+#: Cycle walks end long before: the least likely format is valid for four values in ten. One that doesn't is an error.
 WALKS = 96
-DEFAULT_KEY = "corpusloom-development-key"
+KEY_SETTING = "spark.corpusloom.pii.key"
 FIRST_DAY, DAYS = "1900-01-01", 73_049
 
 # Candidate patterns by kind, in order of precedence.
 PATTERNS = {
-    "private_key": r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[\s\S]{0,8000}?-----END [A-Z ]{0,30}PRIVATE KEY-----",
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}",
-    "secret": r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9_-]{20,100})(?![A-Za-z0-9])",
-    "assigned": r"(?i)(?<![A-Za-z0-9])(?:password|passwd|pwd|secret|token|api[_-]?key)[ \t]{0,3}[=:][ \t]{0,3}(?:\"[^\"\s]{6,200}\"|'[^'\s]{6,200}'|[^\s\"',;]{6,200})(?-i)",
+    "private_key": r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[\s\S]*?-----END [A-Z ]{0,30}PRIVATE KEY-----",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]{1,63}\.){1,126}[A-Za-z]{2,63}",
+    "secret": r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9_-]{20,})(?![A-Za-z0-9])",
+    "assigned": r"(?i)(?<![A-Za-z0-9])(?:password|passwd|pwd|secret|token|api[_-]?key)[ \t]{0,3}[=:][ \t]{0,3}(?:\"[^\"\s]{6,}\"|'[^'\s]{6,}'|[^\s\"',;]{6,})(?-i)",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone": r"(?<![0-9A-Za-z])(?:\+1[ .-]?[0-9]{3}[ .-]|(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[2-9][0-9]{2}[ .-]))[0-9]{3}[ .-][0-9]{4}(?![0-9])",
@@ -41,8 +41,13 @@ ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 INNER = ("card",)
 #: Groupings of cards.
 GROUPED = r"\A(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}(?:[ -][0-9]{1,3})?|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})\z"
-#: A text without any of these holds no candidate.
-HINT = r"[0-9][0-9.]|@|-----BEGIN|(?i:pass|pwd|secret|token|key)"
+
+
+def _may_hold(text: Column) -> Column:
+    """False only for texts that hold no candidate: each kind needs one of these, which are quick to find."""
+    assigned = (text.contains("=") | text.contains(":")) & text.rlike("(?i)pass|pwd|secret|token|key")
+    named = text.contains("AKIA") | text.contains("sk-") | (text.contains("_") & text.rlike("gh[pousr]_"))
+    return text.rlike("[0-9][0-9.]") | text.contains("@") | text.contains("PRIVATE KEY-----") | named | assigned
 
 
 def _pow10(n: Column) -> Column:
@@ -61,14 +66,14 @@ def _pad(value: Column, n: Column | int) -> Column:
     return F.lpad(value.cast("string"), n, "0")
 
 
-def feistel(value: Column, digits: Column, kind: str, key: str) -> Column:
+def feistel(value: Column, digits: Column, kind: str | Column, key: str) -> Column:
     """A keyed permutation of the numbers of ``digits`` (2 to 18) decimal digits."""
     u = F.floor(digits / 2).cast("int")
     v = digits - u
     low = _pow10(v)
 
     def mixed(i: Column, b: Column) -> Column:
-        digest = F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), digits.cast("string"), i.cast("string"), b.cast("string")), 256)
+        digest = F.sha2(F.concat_ws("|", F.lit(key), kind if isinstance(kind, Column) else F.lit(kind), digits.cast("string"), i.cast("string"), b.cast("string")), 256)
         return F.conv(F.substring(digest, 1, 14), 16, 10).cast("long")
 
     def turn(s: Column, i: Column) -> Column:
@@ -81,8 +86,18 @@ def feistel(value: Column, digits: Column, kind: str, key: str) -> Column:
 
 def permute(value: Column, digits: Column, valid: Callable[[Column], Column], kind: str, key: str) -> Column:
     """The next number on the cycle of ``value`` that is valid."""
-    once = feistel(value, digits, kind, key)
-    return F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), once, lambda x, _: F.when(valid(x), x).otherwise(feistel(x, digits, kind, key)))
+
+    def walked(x: Column) -> Column:
+        y = F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), x, lambda x, _: F.when(valid(x), x).otherwise(feistel(x, digits, kind, key)))
+        # bound, so that it is computed once
+        return _bound(y, lambda y: F.when(valid(y), y).otherwise(F.raise_error(F.lit("no valid number on the cycle")).cast("long")))
+
+    return _bound(feistel(value, digits, kind, key), lambda x: F.when(valid(x), x).otherwise(walked(x)))
+
+
+def _bound(value: Column, make: Callable[[Column], Column]) -> Column:
+    """``make`` of ``value``, which is computed once however often it is used."""
+    return F.get(F.transform(F.array(value), make), F.lit(0))
 
 
 def _refill(match: Column, digits: Column) -> Column:
@@ -190,16 +205,49 @@ def _ipv4(m: Column, key: str) -> Column:
 
 
 def _iban(m: Column, key: str) -> Column:
-    flat = F.replace(m, F.lit(" "), F.lit(""))
-    bban, d = F.substring(flat, F.lit(5), F.length(flat)), _digits(F.substring(flat, F.lit(5), F.length(flat)))
-    n = F.least(F.length(d), F.lit(18))
+    """All digits are permuted, long ones in two halves that depend on each other, and letters of the account are
+    moved on in the alphabet by what the new digits say. The country and the form stay."""
+    return _bound(F.replace(m, F.lit(" "), F.lit("")), lambda flat: _bound(_digits(F.substring(flat, F.lit(5), F.length(flat))), lambda d: _account(m, flat, d, key)))
+
+
+def _account(m: Column, flat: Column, d: Column, key: str) -> Column:
+    n, bban, country = F.length(d), F.substring(flat, F.lit(5), F.length(flat)), F.substring(flat, 1, 2)
     ok = (_mod97(F.concat(bban, F.substring(flat, 1, 4))) == 1) & (F.length(flat) >= 15) & (n >= 6)
-    tail = F.substring(d, F.length(d) - n + 1, n)
-    new = F.concat(F.substring(d, F.lit(1), F.length(d) - n), _pad(permute(tail.cast("long"), n, lambda x: F.lit(True), "iban", key), n))
-    new_bban, country = _refill(bban, new), F.substring(flat, 1, 2)
-    check = _pad(98 - _mod97(F.concat(new_bban, country, F.lit("00"))), 2)
-    # letters stay where they are, so only digits have to be filled in
-    return F.when(ok, _refill(m, F.concat(check, new)))
+    whole = _pad(feistel(d.cast("long"), n, "iban", key), n)
+    half = F.floor(n / 2).cast("int")
+    a, b = F.substring(d, F.lit(1), half), F.substring(d, half + 1, n - half)
+    halves = _bound(_pad(feistel(a.cast("long"), half, F.concat(F.lit("iban a "), b), key), half), lambda a: F.concat(a, _pad(feistel(b.cast("long"), n - half, F.concat(F.lit("iban b "), a), key), n - half)))
+
+    def made(new: Column) -> Column:
+        return _bound(_moved(_refill(bban, new), new, key), finished)
+
+    def finished(new: Column) -> Column:
+        check = _pad(98 - _mod97(F.concat(new, country, F.lit("00"))), 2)
+        return _spaced(m, F.concat(country, check, new))
+
+    return F.when(ok, _bound(F.when(n <= 18, whole).otherwise(halves), made))
+
+
+def _moved(account: Column, digits: Column, key: str) -> Column:
+    """``account`` with its letters moved on in the alphabet, each by a keyed number of its place."""
+    steps = F.concat(*[F.sha2(F.concat_ws("|", F.lit(key), F.lit(f"iban letters {i}"), digits), 256) for i in (0, 1)])
+
+    def moved(c: Column, i: Column) -> Column:
+        step = F.conv(F.substring(steps, 2 * i + 1, F.lit(2)), 16, 10).cast("int")
+        return F.when(c.rlike("[A-Z]"), F.char(65 + F.pmod(F.ascii(c) - 65 + step, F.lit(26)))).otherwise(c)
+
+    return F.array_join(F.transform(_chars(account), moved), "")
+
+
+def _spaced(match: Column, flat: Column) -> Column:
+    """``flat`` with the spaces of ``match``."""
+    start = F.struct(F.lit(1).alias("at"), F.lit("").alias("s"))
+
+    def step(state: Column, c: Column) -> Column:
+        space = c == " "
+        return F.struct((state["at"] + F.when(space, 0).otherwise(1)).alias("at"), F.concat(state["s"], F.when(space, c).otherwise(F.substring(flat, state["at"], F.lit(1)))).alias("s"))
+
+    return F.aggregate(_chars(match), start, step, lambda s: s["s"])
 
 
 def _date(m: Column, key: str) -> Column:
@@ -269,15 +317,18 @@ def _inside(m: Column, key: str) -> Column:
 def pseudonymise(df: DataFrame, text_col: str = "text", key: str | None = None) -> DataFrame:
     """``df`` with pseudonyms in ``text_col`` and their number in ``n_pii`` (int).
 
-    ``key`` comes from the setting spark.corpusloom.pii.key if it isn't given. Candidates that
+    ``key`` comes from the setting spark.corpusloom.pii.key if it isn't given; without either, ValueError is raised,
+    as anyone could undo what a published key does. Candidates that
     fail validation stay as they are, but for valid values inside runs of digits and failed account numbers. Null texts stay null with n_pii 0, empty texts empty. Texts
-    are taken whole, however long; rows are independent, so repeated rows give repeated results.
-    Other columns pass through; one named n_pii is replaced.
+    and values are taken whole, however long; rows are independent, so repeated rows give repeated results. Of
+    kinds that fit the same place the first in order counts. An empty table gives an empty one. Other columns pass through; one named n_pii is replaced.
     """
-    key = key or df.sparkSession.conf.get("spark.corpusloom.pii.key", DEFAULT_KEY)
+    key = key or df.sparkSession.conf.get(KEY_SETTING, None)
+    if not key:
+        raise ValueError(f"no key: set {KEY_SETTING}")
     text = F.col(text_col)
     found = _found(text, ANY, key, tuple(PATTERNS))
-    rows = df.drop("n_pii").withColumn("_found", F.when(text.rlike(HINT), found))
+    rows = df.drop("n_pii").withColumn("_found", F.when(_may_hold(text), found))
     rows = rows.withColumn("n_pii", F.coalesce(_number(F.col("_found")), F.lit(0)))
     new = _joined(text, ANY, F.col("_found"))
     return rows.withColumn(text_col, F.when(F.col("n_pii") > 0, new).otherwise(text)).drop("_found")

@@ -12,10 +12,13 @@ from corpusloom.llm.language_id import identified_documents
 from corpusloom.llm.mixing import mixed_documents
 from corpusloom.llm.near_dedup import near_duplicates
 from corpusloom.llm.packing import pack_documents
-from corpusloom.llm.pseudonyms import pseudonymised_documents
+from corpusloom.llm.pseudonyms import KEY_SETTING, pseudonymised_documents
 from corpusloom.llm.sharding import shard_documents
 from corpusloom.llm.url_rules import filter_pages
 
+#: For the synthetic test tables only, where no key is set; the operator itself has none.
+SYNTHETIC_KEY = "key of synthetic tables"
+
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identified_documents(read_table(spark, sf_dir, "documents"))
@@ -30,7 +33,7 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudonymised_documents(read_table(spark, sf_dir, "documents"))
+    return pseudonymised_documents(read_table(spark, sf_dir, "documents"), spark.conf.get(KEY_SETTING, SYNTHETIC_KEY))
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
