@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import language_id, mixing, near_dedup, packing, pseudonyms
+from corpusloom.llm import language_id, mixing, near_dedup, packing, pseudonyms, queries
 from corpusloom.llm._store import materialise, read_table
 
 
@@ -34,8 +34,10 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with pseudonyms in place of personal data and n_chars of the new text."""
-    return pseudonyms.pseudonymised_documents(docs).select(*docs.columns)
+    """All documents, with pseudonyms in place of personal data and n_chars of the new text. The key is
+    that of the session, or where none is set that of synthetic tables."""
+    key = spark.conf.get(pseudonyms.KEY_SETTING, queries.SYNTHETIC_KEY)
+    return pseudonyms.pseudonymised_documents(docs, key).select(*docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
