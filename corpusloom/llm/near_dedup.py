@@ -51,7 +51,7 @@ _A = _RNG.integers(1, 1 << 63, 4 * SIDE, np.uint64) * _U(2) + _U(1)
 _B = _RNG.integers(0, 1 << 63, 4 * SIDE, np.uint64)
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
+def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
     return x ^ (x >> _U(31))
@@ -74,7 +74,7 @@ class _Powers:
 _POWERS = _Powers()
 
 
-def _pieces(text: bytes) -> Iterator[bytes]:
+def pieces_of(text: bytes) -> Iterator[bytes]:
     """``text`` cut at white space, so that no more is hashed at once than CHUNK and a word."""
     at = 0
     while len(text) - at > CHUNK and (found := _BLANK.search(text, at + CHUNK)):
@@ -89,7 +89,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     held: list[tuple[int, bytes]] = []
     size = 0
     for i, text in enumerate(texts):
-        for piece in _pieces(text):
+        for piece in pieces_of(text):
             held.append((i, piece))
             size += len(piece)
             if size >= CHUNK:
@@ -100,6 +100,13 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(words) if words else np.zeros(0, np.uint64), counts
 
 
+def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the runs of ``values`` from each of ``starts`` to each of ``ends``."""
+    up, down = _POWERS.to(len(values) + 1)
+    total = np.r_[_U(0), np.cumsum((values + _U(1)) * up[:-1], dtype=np.uint64)]
+    return mixed((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _GOLD)
+
+
 def _hashed(pieces: list[tuple[int, bytes]], counts: np.ndarray) -> np.ndarray:
     """Hashes of the words of pieces of texts; adds to the texts' ``counts``."""
     buf = np.frombuffer(b" ".join([*(p for _, p in pieces), b""]), np.uint8)
@@ -107,12 +114,9 @@ def _hashed(pieces: list[tuple[int, bytes]], counts: np.ndarray) -> np.ndarray:
     before = np.r_[True, space[:-1]]
     starts = np.flatnonzero(~space & before)
     ends = np.flatnonzero(space & ~before)  # the first space after each word
-    up, down = _POWERS.to(len(buf) + 1)
-    total = np.cumsum((_LOWER[buf] + _U(1)) * up[:-1], dtype=np.uint64)
-    total = np.r_[_U(0), total]
     edges = np.cumsum([len(p) + 1 for _, p in pieces])
     np.add.at(counts, [i for i, _ in pieces], np.diff(np.searchsorted(starts, np.r_[0, edges])))
-    return _mixed((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _GOLD)
+    return span_hashes(_LOWER[buf], starts, ends)
 
 
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
@@ -122,13 +126,13 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     rolled = np.zeros(n, np.uint64)
     for j in range(WORDS):
         rolled += words[j : j + n] * _STEP[j]
-    rolled = _mixed(rolled)
+    rolled = mixed(rolled)
     out, at = [], 0
     for k in counts.tolist():
         if k >= WORDS:
             out.append(np.unique(rolled[at : at + k - WORDS + 1]))
         elif k:
-            out.append(_mixed((words[at : at + k] * _STEP[:k]).sum(dtype=np.uint64, keepdims=True) + np.array([k], np.uint64) * _GOLD))
+            out.append(mixed((words[at : at + k] * _STEP[:k]).sum(dtype=np.uint64, keepdims=True) + np.array([k], np.uint64) * _GOLD))
         else:
             out.append(np.zeros(0, np.uint64))
         at += k
@@ -137,8 +141,8 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
 
 def class_of(shingles: np.ndarray) -> int:
     """A number that equal sets share, as a signed long."""
-    x = _mixed(shingles * _GOLD).sum(dtype=np.uint64, keepdims=True) + _U(len(shingles))
-    return int(_mixed(x).view(np.int64)[0])
+    x = mixed(shingles * _GOLD).sum(dtype=np.uint64, keepdims=True) + _U(len(shingles))
+    return int(mixed(x).view(np.int64)[0])
 
 
 def half_keys(shingles: np.ndarray) -> np.ndarray:
@@ -146,8 +150,8 @@ def half_keys(shingles: np.ndarray) -> np.ndarray:
     least = np.full(len(_A), np.iinfo(np.uint64).max)
     for i in range(0, len(shingles), 4096):
         np.minimum(least, (shingles[None, i : i + 4096] * _A[:, None] + _B[:, None]).min(axis=1), out=least)
-    pair = _mixed(least[::2]) * _GOLD + least[1::2]
-    return _mixed(pair + np.arange(len(pair), dtype=np.uint64)).view(np.int64)
+    pair = mixed(least[::2]) * _GOLD + least[1::2]
+    return mixed(pair + np.arange(len(pair), dtype=np.uint64)).view(np.int64)
 
 
 def in_chunks(texts: Iterable[str | None], most: int = CHUNK) -> Iterator[list[bytes]]:
