@@ -19,18 +19,22 @@ def _stars(edges: DataFrame, large: bool) -> tuple[DataFrame, DataFrame]:
     return out.unionByName(least.select("u", F.col("m").alias("v"))).filter(F.col("u") > F.col("v")).distinct(), least
 
 
+def _is_open(edges: DataFrame) -> bool:
+    """Whether some node has two parents, or a parent that has one itself: no forest of stars yet."""
+    both = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    both = both.unionByName(edges.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    nodes = both.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return bool(nodes.agg(F.coalesce(F.max((F.col("up") + F.col("down") > 1) & (F.col("up") > 0)), F.lit(False))).first()[0])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node and comp (the least node of its component) for the nodes of ``edges`` (u, v)."""
     now = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter(F.col("u") > F.col("v")).distinct()
-    now, before = materialise(now, "edges"), None
-    while True:
+    now = materialise(now, "edges")
+    while _is_open(now):
         large, a = _stars(now, True)
         small, b = _stars(large, False)
         old, now = now, materialise(small, "edges")
         drop(old, a, b)
-        seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if seen == before:
-            break
-        before = seen
     roots = now.select(F.col("v").alias("node")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(roots.select("node", F.col("node").alias("comp")))

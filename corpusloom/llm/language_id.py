@@ -5,11 +5,13 @@ Kneser-Ney probabilities of each order. N-grams of all languages share one sorte
 hashes for each order, whose rows hold every language's log probability, so a character costs
 one lookup and shorter orders are read only where the longest is unknown. The language with the
 least cross-entropy a character wins. How sure that is, and from which cross-entropy a text is
-rejected, is calibrated on labelled documents that were not counted.
+rejected, is calibrated on labelled documents that were not counted. Letters that are frequent
+have a code of their own; every other one is spelled by two codes, so that none share one.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -19,9 +21,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm._store import materialise, small_batches
+from corpusloom.llm._store import drop, materialise, small_batches
 
-ORDER, BITS, MOST_LETTERS = 5, 12, 4000
+ORDER, BITS = 5, 12
+#: Letters with a code of their own; of the others, the page and the place in it have one. All fit into BITS.
+OWN, PAGE, PAGES = 1900, 1024, 0x110000 // 1024
 #: Labelled documents of a language that are used, on average; the sample is taken by hash of the id.
 SAMPLE = 800
 #: Share of good documents that calibration may reject, and the least distance in deviations.
@@ -67,7 +71,7 @@ def hash_array(keys: np.ndarray, rows: np.ndarray) -> HashArray:
 
 class Model(NamedTuple):
     langs: list[str]
-    #: Code of each letter by code point; 0 for all that isn't a letter, 1 for letters not learned.
+    #: Code of each letter by code point; 0 for all that isn't a letter, 1 for letters that are spelled.
     codes: np.ndarray
     #: For orders 5 to 1, log probabilities; for orders 5 to 2, log weights of shorter orders by context.
     grams: list[HashArray]
@@ -85,7 +89,16 @@ def normalise(texts: list[str], codes: np.ndarray) -> tuple[np.ndarray, np.ndarr
     """Codes of all texts, each after ORDER - 1 spaces and without its other runs of spaces; lengths with those spaces."""
     lower = [t.lower() for t in texts]
     sizes = np.array([len(t) for t in lower])
-    got = codes[np.frombuffer("".join(lower).encode("utf-32-le", "surrogatepass"), np.uint32)]
+    points = np.frombuffer("".join(lower).encode("utf-32-le", "surrogatepass"), np.uint32)
+    got = codes[points]
+    spelled = got == 1
+    if spelled.any():
+        first = 2 + OWN
+        got = np.repeat(got, 1 + spelled)
+        at = np.flatnonzero(spelled) + np.arange(spelled.sum())
+        got[at], got[at + 1] = first + points[spelled] // PAGE, first + PAGES + points[spelled] % PAGE
+        ends = np.cumsum(sizes)
+        sizes = sizes + np.diff(np.r_[0, np.cumsum(spelled)][np.r_[0, ends]])
     before = np.empty_like(got)
     before[:1], before[1:] = 0, got[:-1]
     starts = np.cumsum(sizes) - sizes
@@ -107,28 +120,17 @@ def gram_keys(codes: np.ndarray, order: int = ORDER) -> np.ndarray:
     return key
 
 
-def marked_probs(model: Model, heads: np.ndarray, shortest: float) -> np.ndarray:
-    """The probability of a marked letter after each context of the longest order."""
-    out, todo = np.full(len(heads), shortest, np.float32), np.arange(len(heads))
-    for i, table in enumerate(model.contexts):
-        at = table.find(heads[todo] & _mask(len(model.contexts) - i))
-        out[todo[at >= 0]] = table.rows[at[at >= 0], -1]
-        todo = todo[at < 0]
-    return out
-
-
 def _mask(order: int) -> np.uint64:
     return np.uint64((1 << BITS * order) - 1)
 
 
-def kneser_ney(counts: list[tuple[np.ndarray, np.ndarray]], letters: int, least: int = 1, longest: int = ORDER, marked: np.ndarray | None = None) -> tuple[list[HashArray], list[HashArray]]:
+def kneser_ney(counts: list[tuple[np.ndarray, np.ndarray]], letters: int, least: int = 1, longest: int = ORDER) -> tuple[list[HashArray], list[HashArray]]:
     """Tables from each language's sorted grams of order ``longest`` and their counts. Those counted fewer than
-    ``least`` times are left to the shorter orders. With ``marked``, which says of each letter if it is,
-    rows of contexts end with each language's probability of a marked letter next."""
+    ``least`` times are left to the shorter orders."""
     by_order: list[list[tuple[np.ndarray, np.ndarray]]] = [counts]
     for order in range(longest - 1, 0, -1):  # how many grams a shorter one ends
         by_order.append([tuple(np.unique(keys & _mask(order), return_counts=True)) for keys, _ in by_order[-1]])
-    grams, contexts, lower, below, above = [], [], None, None, None
+    grams, contexts, lower, below = [], [], None, None
     for order in range(1, longest + 1):
         own = by_order[longest - order]
         kept = [n >= (least if order == longest else 1) for _, n in own]
@@ -136,7 +138,6 @@ def kneser_ney(counts: list[tuple[np.ndarray, np.ndarray]], letters: int, least:
         heads = np.unique(np.concatenate([k >> np.uint64(BITS) for k, _ in own]))
         weight = np.ones((len(heads), len(own)))
         share = np.zeros((len(union), len(own)))
-        mark = np.zeros((len(heads), len(own)))
         for j, (keys, n) in enumerate(own):
             if not len(keys):
                 continue
@@ -145,20 +146,14 @@ def kneser_ney(counts: list[tuple[np.ndarray, np.ndarray]], letters: int, least:
             at = np.searchsorted(heads, keys >> np.uint64(BITS))
             total, kinds = np.bincount(at, n, len(heads)), np.bincount(at, minlength=len(heads))
             on = kept[j]
-            own_share = (n[on] - d) / total[at[on]]
-            share[np.searchsorted(union, keys[on]), j] = own_share
-            if marked is not None:
-                mark[:, j] = np.bincount(at[on], own_share * marked[(keys[on] & _mask(1)).astype(np.intp)], len(heads))
+            share[np.searchsorted(union, keys[on]), j] = (n[on] - d) / total[at[on]]
             # what the grams that are kept leave: their discounts, and all of the others
             weight[kinds > 0, j] = (d * kinds[kinds > 0] + np.bincount(at[~on], n[~on] - d, len(heads))[kinds > 0]) / total[kinds > 0]
         base = 1 / (letters + 2) if order == 1 else below[np.searchsorted(lower, union & _mask(order - 1))]
         prob = share + weight[np.searchsorted(heads, union >> np.uint64(BITS))] * base
         grams.insert(0, hash_array(union, np.log(prob)))
-        if marked is not None:
-            mark += weight * (marked.sum() / (letters + 2) if order == 1 else above[1][np.searchsorted(above[0], heads & _mask(order - 2))])
-            above = heads, mark
         if order > 1:
-            contexts.insert(0, hash_array(heads, np.log(weight) if marked is None else np.hstack([np.log(weight), mark])))
+            contexts.insert(0, hash_array(heads, np.log(weight)))
         else:
             unknown = np.log(weight[0] / (letters + 2))
         lower, below = union, prob
@@ -181,7 +176,7 @@ def log_probs(model: Model, keys: np.ndarray) -> np.ndarray:
         key = keys[todo]
         head = model.contexts[i - 1].find(key >> np.uint64(BITS) & _mask(order))
         known = head >= 0
-        out[todo[known]] += model.contexts[i - 1].rows[head[known], : out.shape[1]]
+        out[todo[known]] += model.contexts[i - 1].rows[head[known]]
         at = model.grams[i].find(key & _mask(order))
         hit = at >= 0 if order > 1 else np.ones(len(at), bool)
         out[todo[hit]] += model.grams[i].rows[at[hit]]  # -1 is the last row
@@ -268,7 +263,8 @@ def remainder(id_col: str) -> Column:
 
 def learn(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id") -> tuple[Model, Calibration]:
     """The model from text and non-null lang of documents that aren't held out. Of those whose
-    id's checksum leaves 1 the calibration is learned, from the others the counts."""
+    id's checksum leaves 1 the calibration is learned, from the others the counts. The list of
+    languages is metadata and goes to the driver."""
     spark = docs.sparkSession
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.coalesce(remainder(id_col), F.lit(2)) != 0))
     sizes = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -285,10 +281,10 @@ def learn(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id") -> tupl
     def letters(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             c, n = np.unique(np.frombuffer("".join(t.lower() for t in batch["text"]).encode("utf-32-le", "surrogatepass"), np.uint32), return_counts=True)
-            yield pd.DataFrame({"c": c.astype(np.int64), "n": n})
+            yield pd.DataFrame({"c": c.astype(np.int64), "n": n}).loc[[chr(x).isalpha() for x in c]]
 
-    seen = counted.mapInPandas(letters, "c long, n long").groupBy("c").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "c").limit(2 * MOST_LETTERS).collect()
-    codes = letter_codes([r["c"] for r in seen if chr(r["c"]).isalpha()][:MOST_LETTERS])
+    seen = counted.mapInPandas(letters, "c long, n long").groupBy("c").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "c").limit(OWN).collect()
+    codes = letter_codes([r["c"] for r in seen])
 
     def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -301,14 +297,25 @@ def learn(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id") -> tupl
                 key, n = np.unique(gram_keys(got)[ok[ORDER - 1 :]], return_counts=True)
                 yield pd.DataFrame({"j": np.full(len(key), j, np.int32), "key": key.astype(np.int64), "n": n})
 
-    table = counted.mapInPandas(grams, "j int, key long, n long").groupBy("j", "key").agg(F.sum("n").alias("n")).toPandas()
-    counts = []
-    for j in range(len(langs)):
-        own = table[table["j"] == j].sort_values("key")
-        counts.append((own["key"].to_numpy(np.uint64), own["n"].to_numpy()))
-    if not sum(len(k) for k, _ in counts):  # no letters at all
-        counts = [(np.zeros(1, np.uint64), np.ones(1, np.int64)) for _ in langs]
-    model = Model(langs, codes, *kneser_ney(counts, int(codes.max())))
+    def built(table: pd.DataFrame) -> pd.DataFrame:
+        counts = []
+        for j in range(len(langs)):
+            own = table.loc[table["j"] == j, ["key", "n"]].sort_values("key")
+            counts.append((own["key"].to_numpy(np.uint64), own["n"].to_numpy()))
+        tables = pickle.dumps(kneser_ney(counts, 2 + OWN + PAGES + PAGE))
+        step = 1 << 23
+        return pd.DataFrame({"at": range(0, len(tables), step), "part": [tables[i : i + step] for i in range(0, len(tables), step)]})
+
+    # all languages' grams of the sample meet in one task, as tables hold a row for each gram and a value for
+    # each language; the driver gets the finished tables
+    table = counted.mapInPandas(grams, "j int, key long, n long").groupBy("j", "key").agg(F.sum("n").alias("n"))
+    parts = table.withColumn("model", F.lit(0)).groupBy("model").applyInPandas(built, "at long, part binary").orderBy("at").collect()
+    if parts:
+        tables = pickle.loads(b"".join(r["part"] for r in parts))
+    else:  # no letters at all
+        tables = kneser_ney([(np.zeros(1, np.uint64), np.ones(1, np.int64)) for _ in langs], 2 + OWN + PAGES + PAGE)
+    del parts
+    model = Model(langs, codes, *tables)
     held = spark.sparkContext.broadcast(model)
 
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -317,6 +324,8 @@ def learn(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id") -> tupl
             yield pd.DataFrame({"h": list(h), "n": n, "j": batch["j"]})
 
     told = picked.filter("held").mapInPandas(measured, "h array<double>, n long, j int").filter("n > 0").toPandas()
+    held.destroy()
+    drop(picked)
     h = np.stack(told["h"]) if len(told) else np.zeros((0, len(langs)))
     return model, calibrate(h, told["n"].to_numpy(np.float64), told["j"].to_numpy(np.int64))
 
