@@ -20,24 +20,38 @@ from corpusloom.llm._store import materialise
 #: Key bits that are settled after each round; the first 64 are the text's hash.
 DEPTHS = (12, 24, 36, 48, 64, 76, 88, 100, 112, 128)
 _SIGN = 1 << 63
+#: Bits of the key by which rows that are alike in text and id differ.
+PLACE_BITS = 24
 #: Most slot buckets of a shard; bounds the broadcast offsets at shards x this.
 MAX_BUCKETS = 4096
 
 
 def with_keys(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Adds ``size`` (UTF-8 bytes, none for null, plus 8), ``text_crc32`` (null for null) and
-    the key columns ``_h`` and ``_r``. Columns of those names are replaced."""
+    the key columns ``_h`` and ``_r`` and the row's ``_place``. Columns of those names are replaced."""
     text = F.col(text_col)
     return df.withColumns(
         {
             "size": F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 8,
             "text_crc32": F.crc32(text.cast("binary")),
             "_h": F.xxhash64(text),
-            "_r": F.xxhash64(F.col(id_col).cast("string")),
+            "_r": F.xxhash64(F.col(id_col).cast("string")).bitwiseAND(F.lit(-1 << PLACE_BITS)),
+            "_place": F.monotonically_increasing_id(),
         }
     )
 
 
+def told_apart(rows: DataFrame) -> DataFrame:
+    """``rows`` with the last bits of ``_r`` by place where rows are alike in text and id; others keep theirs, so
+    that they don't depend on how the table is split."""
+    again = rows.groupBy("_h", "_r").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_h", "_r", F.lit(True).alias("_again"))
+    if not again.head(1):
+        return rows.drop("_place")
+    place = F.shiftrightunsigned(F.xxhash64("_place"), 64 - PLACE_BITS)
+    own = F.col("_r").bitwiseOR(F.when(F.col("_again"), place).otherwise(0))
+    return materialise(rows.join(again, ["_h", "_r"], "left").withColumn("_r", own).drop("_place", "_again"), "shard_parted")
+
+
 def _prefix(depth: int) -> list[Column]:
     """The key's first ``depth`` bits, in key order, as one or two long columns."""
     lift = lambda name: F.col(name).bitwiseXOR(F.lit(-_SIGN))
@@ -124,12 +138,15 @@ def shard_rows(rows: DataFrame, n_shards: int = 24, tolerance: float = 0.001, gr
 
     Adds ``law`` ('bytes': sizes near equal), ``shard`` 0 to n_shards - 1, ``slot`` (gapless
     from 0 in each shard) and ``grown_shard`` (null under this law) and drops the keys.
-    Null texts count as one group of equal texts of 8 bytes each. Rows with equal text and
-    equal id share one key and so one shard. An empty table gives an empty result; shards may be
+    Null texts count as one group of equal texts of 8 bytes each. Rows that repeat text
+    and id are parted by their place. Long texts are sizes like others, so a shard that holds one may be over its
+    share. An empty table gives an empty result; shards may be
     empty if there are fewer rows than shards. Other columns pass through; columns with the
     added names are replaced. Equal texts stay together unless their group is itself larger
-    than the slack. Slots follow no order but are the same in each run.
+    than the slack. Slots follow no order, but are the same in each run, but for rows that repeat.
     """
+    if "_place" in rows.columns:
+        rows = told_apart(rows)
     splitters = find_splitters(rows, n_shards, tolerance, group_slack)
     buckets = max(16, min(MAX_BUCKETS, rows.count() // (n_shards * 20_000)))
     placed = rows.withColumn("shard", shard_of(splitters)).withColumn("_bucket", F.pmod(F.col("_r"), F.lit(buckets)).cast("int"))
@@ -147,5 +164,5 @@ def shard_rows(rows: DataFrame, n_shards: int = 24, tolerance: float = 0.001, gr
 
 def shard_documents(docs: DataFrame, n_shards: int = 24) -> DataFrame:
     """The digest of ``docs``: doc_id, size, text_crc32, law, shard, slot, grown_shard."""
-    rows = materialise(with_keys(docs).select("doc_id", "size", "text_crc32", "_h", "_r"), "shard_keys")
+    rows = materialise(with_keys(docs).select("doc_id", "size", "text_crc32", "_h", "_r", "_place"), "shard_keys")
     return shard_rows(rows, n_shards).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")

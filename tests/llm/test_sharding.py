@@ -1,4 +1,5 @@
 import zlib
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -58,3 +59,15 @@ def test_clashing_columns_pass_or_are_replaced(edges):
     out = S.shard_rows(rows, 3)
     assert out.columns.count("shard") == 1 and {r.copies for r in out.collect()} == {"clash"}
     check(out.collect(), 3)
+
+
+def test_rows_that_repeat_are_parted(spark):
+    """One row 300 times and 300 others: shards are near equal all the same."""
+    rows = [(1, "the same text")] * 300 + [(i, f"text {i:8}") for i in range(2, 302)]
+    out = S.shard_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    size = Counter()
+    for r in out:
+        size[r.shard] += r.size
+    assert len(size) == 24 and max(size.values()) - min(size.values()) <= 3 * 21
+    for shard in size:
+        assert sorted(r.slot for r in out if r.shard == shard) == list(range(sum(r.shard == shard for r in out)))
