@@ -39,10 +39,14 @@ def padded(vectors: pd.Series, width: int, kind: type) -> np.ndarray:
     return out
 
 
+def group_count(candidates: DataFrame) -> int:
+    return max(LEAST_GROUPS, -(-candidates.count() // GROUP_ROWS))
+
+
 def search_blocks(candidates: DataFrame, queries: DataFrame, best: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], k: int, descending: bool, score_type: str) -> DataFrame:
     """query_id, rank, vec_id, score of the ``k`` best of what ``best(candidates, queries)``
     finds in each pair of a group (in the order of vec_id) and a block."""
-    groups = max(LEAST_GROUPS, -(-candidates.count() // GROUP_ROWS))
+    groups = group_count(candidates)
     blocks = max(1, -(-queries.count() // QUERY_ROWS))
     left = candidates.withColumn("_g", F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int")).withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     right = queries.withColumn("_b", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")).withColumn("_g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))

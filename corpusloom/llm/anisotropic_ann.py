@@ -5,8 +5,10 @@ most, so it is penalised ``ETA`` times as much as error across it. Codebooks of
 each pair of components are fitted by alternating assignment and least squares under that loss.
 Every row is stored as four-bit codes. A search reads inner products of the codes from tables,
 turns them into distances with exact norms, and ranks the best of each group again by exact
-distance on the original vectors. Then every row is ranked again that can't be told from the k best by its
-code: a row is at least as far as its code's centre less the distance between the two.
+distance on the original vectors. Then those rows are ranked again whose codes leave a chance that they are nearer
+than the k-th: what is left of a row by its code changes the product with a query by a number that spreads
+about as |query| |rest| / sqrt(width), and ``SPREADS`` of these are allowed for. So the number that is ranked again
+follows from the data, also where very many rows have near codes.
 """
 
 from __future__ import annotations
@@ -18,14 +20,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm._blocks import distinct_queries, finite, padded, search_blocks, top_by_key
+from corpusloom.llm._blocks import distinct_queries, finite, group_count, padded, search_blocks, top_by_key
 from corpusloom.llm._store import materialise
 
 #: Components of a subspace, centres of a codebook (four bits), rows of the training sample.
 SUB, CENTRES, SAMPLE = 2, 16, 10_000
-#: Weight of parallel error; rows of a group that are ranked again first; queries scanned at once.
+#: Weight of parallel error; rows of all groups that are ranked again first for a query, dealt over the groups; queries scanned at once.
 ETA, RERANK, BATCH = 4.0, 160, 64
-_OUT = -(1 << 62)
+#: Spreads of a code's error that are allowed for.
+SPREADS = 3.0
 
 
 def assign(x: np.ndarray, books: np.ndarray, eta: float = ETA, sweeps: int = 3) -> np.ndarray:
@@ -95,6 +98,13 @@ def build_index(rows: DataFrame, sample: int = SAMPLE, eta: float = ETA) -> tupl
     return materialise(rows.mapInPandas(coded, "vec_id long, vector array<double>, codes binary"), "ann_index"), books, width
 
 
+def _distances(x: np.ndarray, q: np.ndarray, unit: float) -> np.ndarray:
+    """Euclidean distances in double precision; in units where squares would overflow."""
+    with np.errstate(over="ignore"):
+        far = np.sqrt(((x - q) ** 2).sum(axis=1))
+    return far if np.isfinite(far).all() else np.sqrt(((x / unit - q / unit) ** 2).sum(axis=1)) * unit
+
+
 def nearest(df: DataFrame, *, k: int = 10, every: int = 100, rerank: int = RERANK, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id, score: each query's ``k`` nearest found by Euclidean
     distance (score, in double precision on the original vectors), ties to the smaller vec_id;
@@ -104,41 +114,45 @@ def nearest(df: DataFrame, *, k: int = 10, every: int = 100, rerank: int = RERAN
     Rows with a null id, with a null, empty or zero vector, or with a null or non-finite
     component take no part; missing components of shorter vectors are zero. Rows that repeat an
     id are one query but each a candidate. However many rows have equal or near codes, all that the
-    bound leaves are ranked again. Other columns are ignored.
+    bound leaves are ranked again. Components of any finite size are held; distances beyond double precision are infinite. An
+    empty table gives an empty result. Other columns are ignored.
     """
     index, books, width = build_index(materialise(usable(df, id_col, vector_col), "ann_vectors"))
 
+    groups = group_count(index)
+    share = max(k, -(-rerank // groups))
+
     def best(candidates: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         ids, n = candidates["vec_id"].to_numpy(), len(candidates)
         x = padded(candidates["vector"], width, np.float64)
         packed = np.frombuffer(b"".join(candidates["codes"]), np.uint8).reshape(n, -1)
         codes = np.empty((2 * packed.shape[1], n), np.intp)
         codes[::2], codes[1::2] = (packed & 15).T, (packed >> 4).T
-        half = ((x * x).sum(axis=1) / 2).astype(np.float32)
-        centre = np.concatenate([books[s][codes[s]] for s in range(len(books))], axis=1)
-        error, square = np.sqrt(((x - centre) ** 2).sum(axis=1)), (centre * centre).sum(axis=1)
         wanted, asked = queries["vec_id"].to_numpy(), padded(queries["vector"], width, np.float64)
+        unit = max(float(np.abs(x).max(initial=0)), float(np.abs(asked).max(initial=0)), 1e-300)  # else squares could overflow
+        small, book = x / unit, books / unit
+        half = ((small * small).sum(axis=1) / 2).astype(np.float32)
+        rest = np.sqrt(((small - np.concatenate([book[s][codes[s]] for s in range(len(book))], axis=1)) ** 2).sum(axis=1))
         found = []
         for at in range(0, len(asked), BATCH):
             q, own = asked[at : at + BATCH], wanted[at : at + BATCH]
-            table = np.einsum("qms,mcs->mqc", q.reshape(len(q), -1, SUB), books).astype(np.float32)
+            table = np.einsum("qms,mcs->mqc", (q / unit).reshape(len(q), -1, SUB), book).astype(np.float32)
             score = np.repeat(-half[None], len(q), axis=0)
-            for s in range(len(books)):
+            for s in range(len(book)):
                 score += table[s].take(codes[s], axis=1)
-            unit = (1 << 30) / max(float(np.abs(score).max()), 1e-30)
-            key = np.floor(score * np.float64(unit)).astype(np.int64) * n + np.arange(n - 1, -1, -1)
-            key[own[:, None] == ids] = _OUT
-            top = top_by_key(key, max(rerank, k))
+            out = own[:, None] == ids
+            score[out] = -np.inf
+            top = top_by_key(score, share)
+            size = np.sqrt(((q / unit) ** 2).sum(axis=1))
             for i, there in enumerate(top):
-                there = there[key[i, there] != _OUT]
-                if len(there) < (key[i] != _OUT).sum():
-                    far = np.sqrt(((x[there] - q[i]) ** 2).sum(axis=1))
-                    sizes = square + (q[i] * q[i]).sum()
-                    # the products are single precision
-                    apart = sizes - 2 * (score[i].astype(np.float64) + half) - 1e-5 * (sizes + 2 * half)
-                    nearest_possible = np.sqrt(np.maximum(apart, 0)) - error
-                    there = np.flatnonzero(~(nearest_possible > np.partition(far, k - 1)[k - 1] * (1 + 1e-9)) & (key[i] != _OUT))
-                far = np.sqrt(((x[there] - q[i]) ** 2).sum(axis=1))
+                there = there[~out[i, there]]
+                if len(there) < n - out[i].sum():
+                    far = _distances(x[there], q[i], unit)
+                    # half of the squared distance by the codes, and what it may miss
+                    apart = size[i] ** 2 / 2 - score[i].astype(np.float64) - SPREADS * size[i] * rest / np.sqrt(width)
+                    kth = np.partition(far, k - 1)[k - 1] / unit
+                    there = np.union1d(there, np.flatnonzero((apart <= kth**2 / 2 * (1 + 1e-5) + 1e-6) & ~out[i]))
+                far = _distances(x[there], q[i], unit)
                 there, far = (a[np.lexsort((ids[there], far))[:k]] for a in (there, far))
                 found.append((own[i], ids[there], far))
         return pd.DataFrame({"query_id": np.repeat([f[0] for f in found], [len(f[1]) for f in found]), "vec_id": np.concatenate([f[1] for f in found]), "score": np.concatenate([f[2] for f in found])})

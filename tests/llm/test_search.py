@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 
 from corpusloom.llm import _blocks
 from corpusloom.llm import anisotropic_ann as A
@@ -97,6 +98,45 @@ def test_recall_with_little_ranked_again(spark):
     assert len(by) == 30 and hits / total >= 0.9
 
 
+def test_large_scores_and_components(spark):
+    """Scores near 63 bits keep their order; beyond 64 bits is an error; sizes of components don't matter for distances."""
+    rng = np.random.default_rng(8)
+    x = rng.integers(-300_000, 300_000, (400, 16)).astype(float)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    whole = [[256 * int(c) for c in v] for v in x]
+    got = {}
+    for r in E.top_k(table(spark, rows)).collect():
+        got.setdefault(r.query_id, []).append((r.rank, -r.score, r.vec_id))
+    for q in range(0, 400, 50):
+        want = sorted((-sum(a * b for a, b in zip(whole[q], whole[i], strict=True)), i) for i in range(400) if i != q)[:5]
+        assert [y[1:] for y in sorted(got[q])] == want
+    big = [(0, [3e7] * 3), (1, [3e7] * 3), (2, [1.0, 1.0, 1.0])]
+    assert [r.score for r in E.top_k(table(spark, big[::2])).collect()] == [3 * int(256 * 3e7) * 256]
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        E.top_k(table(spark, [(0, [1e8] * 200), (1, [1e8] * 200)])).collect()
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        E.top_k(table(spark, [(0, [1e30]), (1, [1.0])])).collect()
+    near = {r.vec_id: r.score for r in A.nearest(table(spark, [(0, [1e20, 0.0]), (1, [2e20, 0.0]), (2, [-1e20, 1e20])])).collect()}
+    assert near == pytest.approx({1: 1e20, 2: math.hypot(2e20, 1e20)}, rel=1e-6)
+
+
+def test_codes_decide_what_is_ranked_again(spark, monkeypatch):
+    """On rows without near copies most are never ranked exactly, and recall holds."""
+    monkeypatch.setattr(_blocks, "LEAST_GROUPS", 1)
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((6000, 64)).astype(np.float32)
+    index, books, width = A.build_index(A.usable(table(spark, [(i, v.tolist()) for i, v in enumerate(x)])))
+    q = x[0].astype(float)
+    codes = np.stack([np.frombuffer(r.codes, np.uint8) for r in index.orderBy("vec_id").select("codes").collect()])
+    each = np.empty((len(x), 2 * codes.shape[1]), int)
+    each[:, ::2], each[:, 1::2] = codes & 15, codes >> 4
+    centre = np.concatenate([books[s][each[:, s]] for s in range(len(books))], axis=1)
+    d = ((x - q) ** 2).sum(axis=1)
+    apart = (q @ q + (x.astype(float) ** 2).sum(axis=1)) / 2 - centre @ q - A.SPREADS * np.linalg.norm(q) * np.linalg.norm(x - centre, axis=1) / np.sqrt(width)
+    again = apart <= np.sort(d)[10] / 2
+    assert again.mean() < 0.25 and again[np.argsort(d)[1:11]].all()
+
+
 def test_all_neighbours_are_found_among_near_copies(spark, monkeypatch):
     """A group of production size of which a third is near one vector."""
     monkeypatch.setattr(_blocks, "LEAST_GROUPS", 1)
