@@ -101,10 +101,19 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hashes of the runs of ``values`` from each of ``starts`` to each of ``ends``."""
-    up, down = _POWERS.to(len(values) + 1)
-    total = np.r_[_U(0), np.cumsum((values + _U(1)) * up[:-1], dtype=np.uint64)]
-    return mixed((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _GOLD)
+    """Hashes of the runs of ``values`` from each of ``starts``, which rise, to each of ``ends``. Some runs at a time."""
+    out = np.empty(len(starts), np.uint64)
+    for i in range(0, len(starts), 1 << 16):
+        first, last = starts[i : i + (1 << 16)], ends[i : i + (1 << 16)]
+        at = int(first[0])
+        own = values[at : int(last[-1])].astype(np.uint64)
+        up, down = _POWERS.to(len(own) + 1)
+        own += _U(1)
+        own *= up[:-1]
+        total = np.zeros(len(own) + 1, np.uint64)
+        np.cumsum(own, out=total[1:])
+        out[i : i + (1 << 16)] = (total[last - at] - total[first - at]) * down[first - at] + (last - first).astype(np.uint64) * _GOLD
+    return mixed(out)
 
 
 def _hashed(pieces: list[tuple[int, bytes]], counts: np.ndarray) -> np.ndarray:
