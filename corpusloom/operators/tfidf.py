@@ -24,8 +24,12 @@ def label_block(records: DataFrame, *, min_df: int = 2, synonyms: dict[str, str]
 
 def token_weights(records: DataFrame, *, min_df: int = 2, synonyms: dict[str, str] | None = None) -> DataFrame:
     """ticket_id, token, weight of each record's tokens that are frequent enough."""
-    tokens = label_tokens(F.col("issue_type"), F.col("sub_issue_type"), synonyms)
-    rows = records.select("ticket_id", F.explode(tokens).alias("token")).groupBy("ticket_id", "token").agg(F.count(F.lit(1)).alias("tf"))
+    fields = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("raw")) for f in ("issue_type", "sub_issue_type")])
+    raw = records.select("ticket_id", F.explode(fields).alias("x")).select("ticket_id", "x.*").filter("raw is not null")
+    # each distinct label is made canonical once; Spark broadcasts them if they turn out small
+    own = lambda f: F.when(F.col("field") == f, F.col("raw"))
+    known = raw.select("field", "raw").distinct().withColumn("token", F.get(label_tokens(own("issue_type"), own("sub_issue_type"), synonyms), F.lit(0)))
+    rows = raw.join(known.filter("token is not null"), ["field", "raw"]).groupBy("ticket_id", "token").agg(F.count(F.lit(1)).alias("tf"))
     total = records.agg(F.count(F.lit(1)).alias("n"))
     idf = rows.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") >= min_df)
     idf = idf.crossJoin(F.broadcast(total)).select("token", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))  # one row
