@@ -14,7 +14,7 @@ from corpusloom.functions.text import clean_description, clean_note
 from corpusloom.operators import requests
 from corpusloom.operators.records import require
 from corpusloom.settings import MOST_REQUESTS
-from corpusloom.sources.files import append_new, read_cache, write_document
+from corpusloom.sources.files import append_new, exists, read_cache, write_document
 from corpusloom.sources.workbook import read_workbook, write_workbook
 
 TARGETS = {"tickets": {"description": clean_description}, "time_entries": {"summarynotes": clean_note, "internalnotes": clean_note}}
@@ -66,7 +66,7 @@ def clean_with_service(spark: SparkSession, tickets: DataFrame, service: BatchSe
     The driver sends requests, at most MOST_REQUESTS in a batch. A manifest of a batch in
     flight is collected first unless ``force_new``; a dry run sends nothing.
     """
-    cache = read_cache(spark, cache_path) if Path(cache_path).exists() else spark.createDataFrame([], "id string, text string, _row struct<f: string, i: bigint>")
+    cache = read_cache(spark, cache_path) if exists(spark, cache_path) else spark.createDataFrame([], "id string, text string")
     items = requests.descriptions(tickets)
     items = items.orderBy("_row").limit(sample) if sample else items
     if dry_run:
@@ -92,7 +92,7 @@ def collect(spark: SparkSession, service: BatchService, cache_path: str, manifes
         return {"waiting": manifest["batch_id"]}
     grouped = spark.createDataFrame(list(manifest["groups"].items()), "custom_id string, ids array<string>")
     rows = requests.answers(spark.createDataFrame(results, "custom_id string, answer string"), grouped).cache()
-    cache = read_cache(spark, cache_path) if Path(cache_path).exists() else spark.createDataFrame([], "id string, text string")
+    cache = read_cache(spark, cache_path) if exists(spark, cache_path) else spark.createDataFrame([], "id string, text string")
     written = rows.join(cache.select("id"), "id", "left_anti").count()
     append_new(rows, cache, cache_path)
     Path(manifest_path).unlink()

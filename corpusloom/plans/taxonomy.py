@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from corpusloom import settings as S
 from corpusloom.functions import messages
-from corpusloom.functions.privacy import gate
+from corpusloom.functions.privacy import blank_prose, gate
 from corpusloom.operators import clustering
 from corpusloom.operators.features import combine
 from corpusloom.plans.providers import Namer
@@ -107,13 +107,14 @@ def rubric(clusters: DataFrame) -> DataFrame:
 
 def finalize(spark, artifact: dict, records_meta: dict, out_dir: str, *, stable: dict | None = None, window: str = "", models: dict | None = None) -> dict:
     """Writes taxonomy.md, clusters.jsonl and metrics.json. The gate comes first: personal data
-    in a name or category raises and nothing is written. Details of clusters pass it too."""
+    in a name or category of what qualifies raises and nothing is written. Descriptions and examples of all clusters are redacted."""
     fields = "cluster_id int, title string, description string, category string, qualifies boolean"
     clusters = spark.createDataFrame([tuple(c[f.split()[0]] for f in fields.split(", ")) for c in artifact["clusters"]], fields)
     rows, redacted = gate(rubric(clusters))
     lines = [" | ".join(r[f] for f in ("name", "category", "description")) for r in rows.orderBy("_order").collect()]
-    details, _ = gate(clusters.select(F.col("title").alias("name"), "category", "description", "cluster_id"))
-    clean = {r["cluster_id"]: r["description"] for r in details.collect()}
+    shown = spark.createDataFrame([(c["cluster_id"], c["description"], list(c["examples"])) for c in artifact["clusters"]], "cluster_id int, description string, examples array<string>")
+    shown = shown.select("cluster_id", blank_prose(F.col("description"))[0].alias("description"), F.transform("examples", lambda e: blank_prose(e)[0]).alias("examples"))
+    clean = {r["cluster_id"]: {"description": r["description"], "examples": r["examples"]} for r in shown.collect()}
     qualifying = sum(c["qualifies"] for c in artifact["clusters"])
     metrics = {k: artifact.get(k) for k in ("combo", "weights", "k", "best_silhouette", "coverage", "llm_score")} | {
         "n_workflows": len(lines), "n_qualifying_clusters": qualifying, "redactions": redacted, "stability": stable, "models": models or {}, "dataset_window": window, "records_meta": records_meta,
@@ -123,6 +124,6 @@ def finalize(spark, artifact: dict, records_meta: dict, out_dir: str, *, stable:
     (Path(out_dir) / "taxonomy.md").write_text("\n".join(lines) + "\n", encoding="utf-8")
     import json
 
-    (Path(out_dir) / "clusters.jsonl").write_text("".join(json.dumps({**c, "description": clean[c["cluster_id"]], "examples": []}, ensure_ascii=False) + "\n" for c in artifact["clusters"]), encoding="utf-8")
+    (Path(out_dir) / "clusters.jsonl").write_text("".join(json.dumps(c | clean[c["cluster_id"]], ensure_ascii=False) + "\n" for c in artifact["clusters"]), encoding="utf-8")
     write_document(metrics, f"{out_dir}/metrics.json")
     return metrics

@@ -24,12 +24,19 @@ def write_records(records: DataFrame, path: str) -> None:
 
 def read_cache(spark: SparkSession, path: str) -> DataFrame:
     """id, text, _row of the lines that are JSON objects with an id; others are skipped.
-    Files are in the order of their paths, lines as they stand."""
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("f"), F.monotonically_increasing_id().alias("i"))
-    said = lines.select(F.from_json("value", "id string, text string").alias("j"), F.struct("f", "i").alias("_row"))
+    Files are in the order in which they were written, those of one time by their paths; lines as they stand."""
+    file = [F.col("_metadata.file_modification_time").alias("t"), F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b")]
+    lines = spark.read.text(path).select("value", *file, F.monotonically_increasing_id().alias("i"))
+    said = lines.select(F.from_json("value", "id string, text string").alias("j"), F.struct("t", "f", "b", "i").alias("_row"))
     return said.filter("j.id is not null").select("j.id", "j.text", "_row")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is something at ``path``, in whatever store Spark's readers reach."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def read_vectors(spark: SparkSession, path: str) -> DataFrame:
     from corpusloom.operators.features import CACHE_SCHEMA
 

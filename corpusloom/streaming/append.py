@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from pathlib import Path
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from corpusloom.functions.text import prepass_description
-from corpusloom.sources.files import append_new, read_cache
+from corpusloom.sources.files import append_new, exists, read_cache
 
 
 def append_cleaned(arriving: DataFrame, cache_path: str, checkpoint: str) -> DataStreamWriter:
@@ -17,7 +15,7 @@ def append_cleaned(arriving: DataFrame, cache_path: str, checkpoint: str) -> Dat
 
     def add(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        there = read_cache(spark, cache_path) if Path(cache_path).exists() else spark.createDataFrame([], "id string")
+        there = read_cache(spark, cache_path) if exists(spark, cache_path) else spark.createDataFrame([], "id string")
         append_new(batch, there, cache_path)
 
     cleaned = arriving.select("id", prepass_description(F.col("text")).alias("text"))
