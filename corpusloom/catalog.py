@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from corpusloom import catalog_sql, settings
 from corpusloom.functions import labels, privacy, text
@@ -130,19 +129,23 @@ def q_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tfidf.token_weights(labelled(spark, sf_dir)).select("ticket_id", "token", F.round("weight", 9).alias("weight"))
 
 
+PLANTED = " a.b@example.com ftp://u:p@h.example/x NL02ABCD0123456789 10.0.0.1 +31 (20) 555-0199, 123456782 "
+
+
 def q_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = F.concat(F.col("text"), F.when(F.col("doc_id") % 4 == 0, " a.b@example.com ftp://u:p@h.example/x NL02ABCD0123456789 10.0.0.1 ").otherwise(""))
+    c = F.concat(F.col("text"), F.when(F.col("doc_id") % 4 == 0, PLANTED).otherwise(""))
     found = privacy.find_personal(c)
 
     def count(kind: str) -> Column:
         return F.size(F.filter(found, lambda x: x["kind"] == kind)).alias(kind)
 
-    return texts(spark, sf_dir).select("doc_id", *map(count, ("email", "ipv4", "iban", "url_creds")))
+    return texts(spark, sf_dir).select("doc_id", *map(count, privacy.DETECTORS))
 
 
 def q_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out, n = privacy.blank_prose(F.col("text"))
-    return texts(spark, sf_dir).select("doc_id", out.alias("text"), n.alias("n"))
+    c = F.concat(F.col("text"), F.when(F.col("doc_id") % 4 == 0, PLANTED).otherwise(""))
+    out, n = privacy.blank_prose(c)
+    return texts(spark, sf_dir).select("doc_id", F.md5(out).alias("hash"), n.cast("long").alias("n"))
 
 
 # ---------------------------------------------------------------- requests
@@ -239,11 +242,13 @@ def q_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("cluster_id", "place", "vec_id", F.round("distance", 7).alias("distance"))
 
 
-def swept(spark: SparkSession, sf_dir: str):
+# As many clusters as the table has labels, from one start: the search over k with ten starts is some thousand small
+# jobs. Tests run it on a fixture.
+def swept(spark: SparkSession, sf_dir: str, combos: list[str] | None = None):
     rows = blocks(spark, sf_dir).cache()
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("ticket_id"), F.substring("text", 1, 60).alias("title"), F.lit("").alias("notes"), F.col("lang").alias("issue_type"), F.col("source").alias("sub_issue_type"), F.col("n_chars").cast("double").alias("hours"))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("ticket_id"), F.coalesce("text", F.lit("")).alias("title"), F.lit("").alias("notes"), F.col("lang").alias("issue_type"), F.col("source").alias("sub_issue_type"), F.col("n_chars").cast("double").alias("hours"))
     total = docs.agg(F.sum("hours")).first()[0]
-    return rows, docs, taxonomy.run_sweep(rows, docs, total, StubNamer(), combos=["notes_only", "all_equal"], candidates=[4, 8], starts=2)
+    return rows, docs, taxonomy.run_sweep(rows, docs, total, StubNamer(), combos=combos, fixed_k=10, starts=1)
 
 
 def q_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -253,22 +258,23 @@ def q_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, _, (artifacts, found) = swept(spark, sf_dir)
-    got = taxonomy.stability(rows, artifacts[0], found[artifacts[0]["combo"]], reseeds=2, starts=2)
+    rows, _, (artifacts, found) = swept(spark, sf_dir, ["all_equal"])
+    got = taxonomy.stability(rows, artifacts[0], found[artifacts[0]["combo"]], starts=1)
     return spark.createDataFrame([(got["combo"], got["n_runs"], got["pairwise_ari"], got["mean_ari"], got["stable"])], "combo string, n_runs int, pairwise_ari array<double>, mean_ari double, stable boolean")
 
 
 def q_rubric(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, _, (artifacts, _) = swept(spark, sf_dir)
-    fields = ("cluster_id", "title", "description", "category", "qualifies")
-    clusters = spark.createDataFrame([tuple(c[f] for f in fields) for c in artifacts[0]["clusters"]], "cluster_id int, title string, description string, category string, qualifies boolean")
+    name, about = F.concat(F.lit("Cluster "), F.col("cluster_id").cast("string")), F.concat(F.lit("mail a.b@example.com, "), F.col("n_tickets").cast("string"))
+    clusters = clustering.cluster_totals(*weighed(spark, sf_dir)).select("cluster_id", name.alias("title"), about.alias("description"), F.lit("Uncategorized").alias("category"), F.col("big_enough").alias("qualifies"))
     return privacy.gate(taxonomy.rubric(clusters))[0].drop("_order")
 
 
 def q_ranked_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Groups in the order of a summary: most coverage first, then the grade, then the name."""
-    d = table(spark, sf_dir, "documents").groupBy("source").agg(F.sum("n_chars").alias("coverage"), F.count(F.lit(1)).alias("overall"))
-    return d.withColumn("place", F.row_number().over(Window.orderBy(F.desc("coverage"), F.desc("overall"), "source")))
+    """A summary of artifacts made of sources, most coverage first, then the better grade."""
+    d = table(spark, sf_dir, "documents").groupBy("source").agg(F.sum("n_chars").alias("covered"), F.count(F.lit(1)).alias("n")).orderBy("source")
+    artifacts = [{"combo": r["source"], "weights": {}, "k": r["n"], "best_silhouette": 0.0, "coverage": {"coverage": r["covered"] // 100_000, "n_named_clusters": r["n"]}, "llm_score": {"coherence": 0.0, "distinctness": 0.0, "overall": float(r["n"] % 3)}} for r in d.collect()]  # sources are few
+    lines = [(i, s["combo"], s["k"], s["coverage"], s["llm_overall"], s["n_named"]) for i, s in enumerate(taxonomy.summary(artifacts), 1)]
+    return spark.createDataFrame(lines, "place int, combo string, k long, coverage long, llm_overall double, n_named long")
 
 
 QUERIES = {

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from corpusloom.functions.labels import PLACEHOLDER, SYNONYMS
+from corpusloom.plans.taxonomy import OTHER
 
 _NULLISH = "lower(trim(x, ' ' || chr(9) || chr(10) || chr(13))) IN ('nan', 'none', 'null', '')"
 
@@ -108,6 +109,37 @@ _PARTS = ", ".join(f"{_norm(_slice(1 + 16 * i))} AS n{i}" for i in range(4))
 _ALL = " || ".join(f"list_transform({_slice(1 + 16 * i)}, lambda y: y / n{i} * {w})" for i, w in enumerate(_WEIGHTS))
 _DISTANCE = "sqrt(list_sum(list_transform(list_zip({a}, {b}), lambda p: (p[1] - p[2]) * (p[1] - p[2]))))"
 
+# The detectors without what this dialect lacks. A match of 'phone' takes all digits there are, so nothing has
+# to follow; what may not come before it is matched too and put back.
+_DETECTORS = {
+    "email": (r"\b[\w.+-]+@[\w-]+\.[\w.-]+\b", "[EMAIL]"),
+    "ipv4": (r"\b(?:\d{1,3}\.){3}\d{1,3}\b", "[IP]"),
+    "phone": (r"(^|[^0-9])\+?[0-9][0-9\s\x1c-\x1f().-]{7,}[0-9]", r"\1[PHONE]"),
+    "iban": (r"\b[A-Z]{2}\d{2}[A-Z0-9]{10,30}\b", "[IBAN]"),
+    "url_creds": (r"\b\w+://[^\s:@]+:[^\s:@]+@\S+", "[URL]"),
+}
+_PERSONAL = "d AS (SELECT doc_id, text || CASE WHEN doc_id % 4 = 0 THEN ' a.b@example.com ftp://u:p@h.example/x NL02ABCD0123456789 10.0.0.1 +31 (20) 555-0199, 123456782 ' ELSE '' END AS x FROM documents)"
+
+
+def _matches(x: str, pattern: str) -> str:
+    return f"len(regexp_extract_all({x}, '{pattern}'))"
+
+
+def _counted() -> str:
+    counts = [f"CAST({_matches('x', p)} AS INT) AS {kind}" for kind, (p, _) in _DETECTORS.items()]
+    counts.append("CAST(len(list_filter(regexp_extract_all(x, '[0-9]+'), lambda y: length(y) = 9)) AS INT) AS bsn")
+    return f"WITH {_PERSONAL} SELECT doc_id, {', '.join(counts)} FROM d"
+
+
+def _redacted() -> str:
+    """Each detector in turn; numbers of nine digits are none any more once phone numbers are."""
+    steps, last = [_PERSONAL.replace(" AS x FROM", " AS x, 0 AS n FROM")], "d"
+    for kind, (pattern, put) in _DETECTORS.items():
+        steps.append(f"r_{kind} AS (SELECT doc_id, regexp_replace(x, '{pattern}', '{put}', 'g') AS x, n + {_matches('x', pattern)} AS n FROM {last})")
+        last = f"r_{kind}"
+    return f"WITH {', '.join(steps)} SELECT doc_id, md5(x) AS hash, CAST(n AS BIGINT) AS n FROM {last}"
+
+
 ORACLES = {
     "records": f"WITH {_BUILT} SELECT ticket_id, instance, title, description, notes, issue_type, sub_issue_type, hours, touches FROM b WHERE kept",
     "records_meta": f"WITH {_BUILT} {_META}",
@@ -133,9 +165,7 @@ ORACLES = {
         i AS (SELECT token, ln((1 + (SELECT count(*) FROM orders)) / (1 + count(*))) + 1 AS idf FROM f GROUP BY token HAVING count(*) >= 2),
         w AS (SELECT ticket_id, token, tf * idf AS w FROM f JOIN i USING (token))
         SELECT ticket_id, token, round(w / sqrt(sum(w * w) OVER (PARTITION BY ticket_id)), 9) AS weight FROM w""",
-    "personal_data": r"""WITH d AS (SELECT doc_id, text || CASE WHEN doc_id % 4 = 0 THEN ' a.b@example.com ftp://u:p@h.example/x NL02ABCD0123456789 10.0.0.1 ' ELSE '' END AS x FROM documents)
-        SELECT doc_id, CAST(len(regexp_extract_all(x, '\b[\w.+-]+@[\w-]+\.[\w.-]+\b')) AS INT) AS email, CAST(len(regexp_extract_all(x, '\b(?:\d{1,3}\.){3}\d{1,3}\b')) AS INT) AS ipv4,
-            CAST(len(regexp_extract_all(x, '\b[A-Z]{2}\d{2}[A-Z0-9]{10,30}\b')) AS INT) AS iban, CAST(len(regexp_extract_all(x, '\b\w+://[^\s:@]+:[^\s:@]+@\S+')) AS INT) AS url_creds FROM d""",
+    "personal_data": _counted(),
     "cache_latest": f"WITH {_CACHE} SELECT id, md5(text) AS hash FROM cache",
     "todo": f"WITH {_ITEMS}, {_CACHE}, {_TODO} SELECT ticket_id, md5(text) AS hash FROM todo",
     "request_groups": f"""WITH {_ITEMS}, {_CACHE}, {_TODO}, n AS (SELECT *, row_number() OVER (ORDER BY doc_id, ticket_id) - 1 AS p FROM todo),
@@ -169,6 +199,9 @@ ORACLES = {
         c AS (SELECT cluster_id, list(y ORDER BY i) AS centre FROM m GROUP BY 1), d AS (SELECT cluster_id, vec_id, {_DISTANCE.format(a="x", b="centre")} AS distance FROM v JOIN c USING (cluster_id)),
         r AS (SELECT *, CAST(row_number() OVER (PARTITION BY cluster_id ORDER BY distance, CAST(vec_id AS VARCHAR)) AS INT) AS place FROM d)
         SELECT cluster_id, place, vec_id, round(distance, 7) AS distance FROM r WHERE place <= 8""",
-    "ranked_groups": """WITH g AS (SELECT source, CAST(sum(n_chars) AS BIGINT) AS coverage, count(*) AS overall FROM documents GROUP BY source)
-        SELECT *, CAST(row_number() OVER (ORDER BY coverage DESC, overall DESC, source) AS INT) AS place FROM g""",
+    "ranked_groups": """WITH g AS (SELECT source AS combo, count(*) AS k, CAST(sum(n_chars) // 100000 AS BIGINT) AS coverage, CAST(count(*) % 3 AS DOUBLE) AS llm_overall, count(*) AS n_named FROM documents GROUP BY source)
+        SELECT *, CAST(row_number() OVER (ORDER BY coverage DESC, llm_overall DESC, combo) AS INT) AS place FROM g""",
+    "redacted": _redacted(),
+    "rubric": f"""WITH {_TOTALS} SELECT 'Cluster ' || cluster_id AS name, 'Uncategorized' AS category, 'mail [EMAIL], ' || n_tickets AS description FROM o WHERE big_enough
+        UNION ALL SELECT {", ".join(f"'{v}'" for v in OTHER)}""",
 }
