@@ -131,11 +131,19 @@ def embed_with_split(provider: Embedder, keys: list[str], texts: list[str]) -> l
         return embed_with_split(provider, keys[:half], texts[:half]) + embed_with_split(provider, keys[half:], texts[half:])
 
 
-def embed_missing(records: DataFrame, cache: DataFrame, field: str, provider: Embedder) -> DataFrame:
+def inputs(records: DataFrame, field: str, tokenizer: Tokenizer | None = None) -> DataFrame:
+    """ticket_id, and text and size of the embedding input of ``field``; cut by tokens too with a tokenizer."""
+    text = strip(F.col(field))
+    if tokenizer is None:
+        cut, size = prepared_input(text)
+        return records.select("ticket_id", cut.alias("text"), size.alias("size"))
+    return records.select("ticket_id", prepare_with(tokenizer)(text).alias("_in")).select("ticket_id", "_in.*")
+
+
+def embed_missing(records: DataFrame, cache: DataFrame, field: str, provider: Embedder, tokenizer: Tokenizer | None = None) -> DataFrame:
     """Vectors, in the cache's columns, of non-empty texts of ``field`` that the cache lacks. A
     text that changed or another model isn't in the cache."""
-    text, size = prepared_input(strip(F.col(field)))
-    todo = records.select(F.lit(field).alias("field"), "ticket_id", text.alias("text"), size.alias("size")).filter("text != ''")
+    todo = inputs(records, field, tokenizer).withColumn("field", F.lit(field)).filter("text != ''")
     todo = todo.withColumns({"text_hash": F.xxhash64("text"), "model": F.lit(provider.model)})
     todo = todo.join(cache.select("field", "ticket_id", "text_hash", "model"), ["field", "ticket_id", "text_hash", "model"], "left_anti")
 
@@ -149,19 +157,18 @@ def embed_missing(records: DataFrame, cache: DataFrame, field: str, provider: Em
     return todo.mapInPandas(run, CACHE_SCHEMA)
 
 
-def embedded(records: DataFrame, cache: DataFrame, field: str, provider: Embedder) -> DataFrame:
+def embedded(records: DataFrame, cache: DataFrame, field: str, provider: Embedder, tokenizer: Tokenizer | None = None) -> DataFrame:
     """ticket_id and unit vector of every record; zeros where the text is empty."""
-    text, _ = prepared_input(strip(F.col(field)))
-    own = records.select("ticket_id", F.xxhash64(text).alias("text_hash"))
+    own = inputs(records, field, tokenizer).select("ticket_id", F.xxhash64("text").alias("text_hash"))
     there = cache.filter((F.col("field") == field) & (F.col("model") == provider.model)).select("ticket_id", "text_hash", "vec")
     zero = F.array_repeat(F.lit(0.0).cast("float"), provider.width)
     return own.join(there, ["ticket_id", "text_hash"], "left").select("ticket_id", unit(F.coalesce("vec", zero)).alias(field))
 
 
-def feature_blocks(records: DataFrame, cache: DataFrame, provider: Embedder, labels: DataFrame, vocabulary: list[str]) -> DataFrame:
+def feature_blocks(records: DataFrame, cache: DataFrame, provider: Embedder, labels: DataFrame, vocabulary: list[str], tokenizer: Tokenizer | None = None) -> DataFrame:
     """ticket_id with a unit block for each of the fields and for the labels."""
     out = labels.select("ticket_id", dense(F.col("cat"), vocabulary).alias("cat"))
     for field in FIELDS:
-        missing = embed_missing(records, cache, field, provider)
-        out = out.join(embedded(records, cache.unionByName(missing), field, provider), "ticket_id")
+        missing = embed_missing(records, cache, field, provider, tokenizer)
+        out = out.join(embedded(records, cache.unionByName(missing), field, provider, tokenizer), "ticket_id")
     return out

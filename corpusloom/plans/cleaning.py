@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.text import clean_description, clean_note
 from corpusloom.operators import requests
 from corpusloom.operators.records import require
-from corpusloom.settings import MOST_REQUESTS
+from corpusloom.settings import DESCRIPTION_CHARS, GROUP_SIZE, MOST_REQUESTS
 from corpusloom.sources.files import append_new, exists, read_cache, write_document
 from corpusloom.sources.workbook import read_workbook, write_workbook
 
@@ -60,7 +60,7 @@ def ticket_twin(tickets: DataFrame, cleaned: DataFrame) -> tuple[DataFrame, Obse
     return rows.drop("by_model"), seen
 
 
-def clean_with_service(spark: SparkSession, tickets: DataFrame, service: BatchService, cache_path: str, manifest_path: str, *, dry_run: bool = False, force_new: bool = False, sample: int | None = None) -> dict:
+def clean_with_service(spark: SparkSession, tickets: DataFrame, service: BatchService, cache_path: str, manifest_path: str, *, dry_run: bool = False, force_new: bool = False, sample: int | None = None, size: int = GROUP_SIZE, char_limit: int = DESCRIPTION_CHARS) -> dict:
     """Submits what the cache lacks, or collects what was submitted before.
 
     The driver sends requests, at most MOST_REQUESTS in a batch. A manifest of a batch in
@@ -70,11 +70,13 @@ def clean_with_service(spark: SparkSession, tickets: DataFrame, service: BatchSe
     items = requests.descriptions(tickets)
     items = items.orderBy("_row").limit(sample) if sample else items
     if dry_run:
-        return requests.cost(items).first().asDict()
-    if Path(manifest_path).exists() and not force_new:
+        return requests.cost(requests.todo(items, cache), size).first().asDict()
+    if force_new:
+        Path(manifest_path).unlink(missing_ok=True)
+    if Path(manifest_path).exists():
         return collect(spark, service, cache_path, manifest_path)
-    grouped = requests.groups(requests.todo(items, cache)).cache()
-    sent = [(r["custom_id"], r["message"]) for r in requests.requests(grouped).limit(MOST_REQUESTS + 1).collect()]
+    grouped = requests.groups(requests.todo(items, cache), size).cache()
+    sent = [(r["custom_id"], r["message"]) for r in requests.requests(grouped, char_limit).limit(MOST_REQUESTS + 1).collect()]
     if len(sent) > MOST_REQUESTS:
         raise ValueError(f"more than {MOST_REQUESTS} requests: take a sample")
     if not sent:

@@ -6,10 +6,18 @@ import json
 import random
 import re
 import time
+import urllib.error
+import urllib.request
+import uuid
 from collections.abc import Callable
+from pathlib import Path
 from typing import Protocol
 
+import numpy as np
+
 from corpusloom.functions import messages
+from corpusloom.operators.features import RequestTooLarge
+from corpusloom.settings import EMBED_WIDTH
 
 
 class Namer(Protocol):
@@ -89,3 +97,98 @@ class ChatNamer(StubNamer):
     def judge(self, message: str) -> dict:
         said = self.call(messages.JUDGE_SYSTEM, message)
         return {k: float(said.get(k, 0)) for k in ("coherence", "distinctness", "overall")} | {"notes": str(said.get("notes", "")).strip()}
+
+
+def post(url: str, key: str, body: dict, timeout: float = 120) -> dict:
+    """The JSON answer to ``body``. A refused key is a PermissionError, and a request that is too large
+    a RequestTooLarge; what else a service says is in the text of the error."""
+    head = {"Content-Type": "application/json", "Authorization": f"Bearer {key}"}
+    try:
+        with urllib.request.urlopen(urllib.request.Request(url, json.dumps(body).encode(), head), timeout=timeout) as answer:
+            return json.loads(answer.read())
+    except urllib.error.HTTPError as e:
+        said = f"{e.code} {e.read().decode(errors='replace')[:500]}"
+        if e.code in (401, 403):
+            raise PermissionError(said) from None
+        if e.code == 413 or "max_tokens_per_request" in said:
+            raise RequestTooLarge(said) from None
+        raise RuntimeError(said) from None
+
+
+def http_chat(url: str, key: str, model: str) -> Callable[[str, str], tuple[str, int, int]]:
+    """``send`` for ChatNamer over the common JSON protocol of chat completions at ``url``."""
+
+    def send(system: str, message: str) -> tuple[str, int, int]:
+        said = post(f"{url}/chat/completions", key, {"model": model, "messages": [{"role": "system", "content": system}, {"role": "user", "content": message}]})
+        used = said.get("usage", {})
+        return said["choices"][0]["message"]["content"], used.get("prompt_tokens", 0), used.get("completion_tokens", 0)
+
+    return send
+
+
+class HttpEmbedder:
+    """Vectors from a service that speaks the common JSON protocol of embeddings at ``url``; called by workers."""
+
+    def __init__(self, url: str, key: str, model: str, width: int = EMBED_WIDTH, tries: int = 5):
+        self.url, self.key, self.model, self.width, self.tries = url, key, model, width, tries
+
+    def embed(self, keys: list[str], texts: list[str]) -> list[np.ndarray]:
+        for left in reversed(range(self.tries)):
+            try:
+                said = post(f"{self.url}/embeddings", self.key, {"model": self.model, "input": texts, "dimensions": self.width})
+            except (PermissionError, RequestTooLarge):
+                raise
+            except (RuntimeError, OSError):
+                if not left:
+                    raise
+                time.sleep(2.0 * (self.tries - left) + random.random())
+            else:
+                return [np.asarray(x["embedding"], dtype=np.float32) for x in sorted(said["data"], key=lambda x: x["index"])]
+
+
+class FileTokenizer:
+    """A tokenizer from a public vocabulary file; loaded once in each process."""
+
+    def __init__(self, path: str):
+        self.path = path
+
+    @property
+    def own(self):
+        from tokenizers import Tokenizer
+
+        if "_own" not in self.__dict__:
+            self._own = Tokenizer.from_file(self.path)
+        return self._own
+
+    def __getstate__(self) -> dict:
+        return {"path": self.path}
+
+    def encode(self, text: str) -> list[int]:
+        return self.own.encode(text, add_special_tokens=False).ids
+
+    def decode(self, ids: list[int]) -> str:
+        return self.own.decode(ids)
+
+
+class FolderQueue:
+    """Batches of requests as files of JSON lines in a folder, for any queue that is answered later:
+    ``<batch>.requests.jsonl`` holds custom_id, system and message of each, and whoever runs them
+    leaves custom_id and answer of each in ``<batch>.answers.jsonl``."""
+
+    def __init__(self, folder: str, system: str = messages.CLEAN_SYSTEM):
+        self.folder, self.system = Path(folder), system
+
+    def submit(self, requests: list[tuple[str, str]]) -> str:
+        batch = uuid.uuid4().hex
+        lines = [json.dumps({"custom_id": i, "system": self.system, "message": m}, ensure_ascii=False) + "\n" for i, m in requests]
+        self.folder.mkdir(parents=True, exist_ok=True)
+        (self.folder / f"{batch}.part").write_text("".join(lines), encoding="utf-8")
+        (self.folder / f"{batch}.part").rename(self.folder / f"{batch}.requests.jsonl")
+        return batch
+
+    def results(self, batch_id: str) -> list[tuple[str, str]] | None:
+        answers = self.folder / f"{batch_id}.answers.jsonl"
+        if not answers.exists():
+            return None
+        said = [json.loads(line) for line in answers.read_text(encoding="utf-8").split("\n") if line.strip()]
+        return [(x["custom_id"], x["answer"]) for x in said]

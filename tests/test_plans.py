@@ -1,11 +1,15 @@
 import json
+import threading
+from http.server import BaseHTTPRequestHandler, HTTPServer
 
 import pytest
 from pyspark.sql import functions as F
 
 from corpusloom import settings
+from corpusloom.functions.messages import CLEAN_SYSTEM
+from corpusloom.operators import features
 from corpusloom.plans import cleaning, cli, taxonomy
-from corpusloom.plans.providers import ChatNamer, StubNamer
+from corpusloom.plans.providers import ChatNamer, FileTokenizer, HttpEmbedder, StubNamer, http_chat
 from corpusloom.sources import files, workbook
 from corpusloom.streaming.append import append_cleaned
 
@@ -153,9 +157,10 @@ def test_all_stages_from_workbooks(spark, tmp_path):
     t, e = str(tmp_path / "t.xlsx"), str(tmp_path / "e.xlsx")
     workbook.write_workbook(spark.createDataFrame(tickets, "_row long, " + ", ".join(f"{h} {'double' if h == 'hours' else 'string'}" for h in HEADER)), t)
     workbook.write_workbook(spark.createDataFrame(entries, "_row long, instance string, ticketnumber string, startdatetime string, summarynotes string, internalnotes string, hours double"), e)
-    run = lambda *a: cli.main(["--tickets", t, "--entries", e, "--out", str(tmp_path / "r"), "--cleaned", str(tmp_path / "c"), *a])
+    run = lambda *a: cli.main(["--tickets", t, "--entries", e, "--out", str(tmp_path / "r"), "--cleaned", str(tmp_path / "c"), "--dry-run", *a])
     old = settings.COMBOS
     run("--stage", "clean")
+    assert not (tmp_path / "c").exists()
     settings.COMBOS = {k: old[k] for k in ("labels_only", "all_equal")}
     try:
         run("--stage", "all", "--fixed-k", "3", "--starts", "1", "--select", "labels_only")
@@ -167,6 +172,86 @@ def test_all_stages_from_workbooks(spark, tmp_path):
     assert (tmp_path / "r/taxonomy.md").exists()
     with pytest.raises(SystemExit):
         run("--stage", "finalize")
+    (tmp_path / "r/stability.json").unlink()
+    run("--stage", "stability", "--select", "labels_only", "--starts", "1")
+    assert files.read_document(str(tmp_path / "r/stability.json"))["n_runs"] == 4
+    with pytest.raises(SystemExit, match="dry-run"):
+        cli.main(["--tickets", t, "--entries", e, "--out", str(tmp_path / "r"), "--stage", "sweep"])
+
+
+def test_descriptions_through_a_queue(spark, tmp_path):
+    rows = [(i, "a", str(i), f"the printer of room {i} prints nothing at all since monday <b>") for i in range(5)]
+    t, e, c, q = (str(tmp_path / n) for n in ("t.parquet", "e.parquet", "c", "q"))
+    spark.createDataFrame(rows, "_row long, instance string, ticketnumber string, description string").write.parquet(t)
+    spark.createDataFrame([(0, "a", "1", "did <br>", None)], "_row long, instance string, ticketnumber string, summarynotes string, internalnotes string").write.parquet(e)
+    run = lambda *a: cli.main(["--tickets", t, "--entries", e, "--cleaned", c, "--stage", "clean", "--queue", q, *a])
+    with pytest.raises(SystemExit, match="in flight"):
+        run("--collect")
+    run("--sample", "3", "--batch-size", "2", "--char-limit", "20", "--submit-only")
+    (batch,) = (tmp_path / "q").iterdir()
+    sent = [json.loads(line) for line in batch.read_text().splitlines()]
+    assert [s["message"].count("TICKET") for s in sent] == [2, 1] and all(s["system"] == CLEAN_SYSTEM and "truncated" in s["message"] for s in sent)
+    answers = [{"custom_id": s["custom_id"], "answer": json.dumps([{"id": 0, "text": "by model"}])} for s in sent]
+    (tmp_path / "q" / batch.name.replace("requests", "answers")).write_text("\n".join(json.dumps(x) for x in answers))
+    run("--collect", "--poll-interval", "0")
+    twin = {r.ticketnumber: r.description for r in spark.read.parquet(f"{c}/t.cleaned.parquet").collect()}
+    assert [twin[k] == "by model" for k in "01234"] == [True, False, True, False, False]
+    assert spark.read.parquet(f"{c}/e.cleaned.parquet").first().summarynotes == "did"
+
+
+def test_given_paths_win_over_twins(tmp_path, monkeypatch):
+    monkeypatch.chdir(tmp_path)
+    assert cli.source("tickets", None, "c", False) == "data/tickets.xlsx"
+    (tmp_path / "c/tickets.cleaned.parquet").mkdir(parents=True)
+    assert cli.source("tickets", None, "c", False) == "c/tickets.cleaned.parquet"
+    assert cli.source("tickets", None, "c", True) == "data/tickets.xlsx"
+    assert cli.source("tickets", "x/tickets.xlsx", "c", False) == "x/tickets.xlsx"
+
+
+def test_inputs_cut_by_tokens(spark):
+    import public_tokenizers
+
+    texts = ["a b " * 6000, "short", None]
+    rows = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "ticket_id string, notes string")
+    tokenizer = FileTokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    got = {r.ticket_id: r for r in features.inputs(rows, "notes", tokenizer).collect()}
+    assert len(tokenizer.encode(got["0"].text)) <= settings.INPUT_TOKENS < len(tokenizer.encode(texts[0]))
+    assert texts[0].startswith(got["0"].text) and (got["1"].text, got["1"].size, got["2"].text) == ("short", 2, "")
+
+
+def test_services_over_http():
+    class Answers(BaseHTTPRequestHandler):
+        def do_POST(self):
+            body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            code, said = 200, {}
+            if self.headers["Authorization"] != "Bearer k":
+                code = 401
+            elif self.path.endswith("/embeddings") and len(body["input"]) > 2:
+                code, said = 400, {"error": "max_tokens_per_request"}
+            elif self.path.endswith("/embeddings"):
+                said = {"data": [{"index": i, "embedding": [len(t), body["dimensions"]]} for i, t in reversed(list(enumerate(body["input"])))]}
+            else:
+                said = {"choices": [{"message": {"content": '{"overall": 3}'}}], "usage": {"prompt_tokens": 7, "completion_tokens": 2}}
+            self.send_response(code)
+            self.end_headers()
+            self.wfile.write(json.dumps(said).encode())
+
+        def log_message(self, *a):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Answers)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    url = f"http://127.0.0.1:{server.server_port}/v1"
+    try:
+        embedder = HttpEmbedder(url, "k", "m", width=2)
+        texts = ["a", "bb", "ccc", "dddd", "e"]
+        assert [v.tolist() for v in features.embed_with_split(embedder, texts, texts)] == [[len(t), 2] for t in texts]
+        namer = ChatNamer(http_chat(url, "k", "m"))
+        assert namer.judge("x")["overall"] == 3.0 and namer.usage == {"calls": 1, "input_tokens": 7, "output_tokens": 2}
+        with pytest.raises(PermissionError):
+            ChatNamer(http_chat(url, "other", "m")).judge("x")
+    finally:
+        server.shutdown()
 
 
 def test_stream_appends_once(spark, tmp_path):
