@@ -35,7 +35,8 @@ def cut(n: int, most: int) -> list[tuple[int, int]]:
 
 def pieces(docs: DataFrame, capacity: int = 1024, end_id: int = 2, tokenizer_path: str = BYTE_BPE) -> DataFrame:
     """Token pieces of whole texts of ``docs`` (doc_id, text): null texts are as empty ones,
-    whose only token is the end."""
+    whose only token is the end. Texts of any length are cut into as many pieces as they need. Repeated rows
+    and null ids give pieces of their own each; an empty table gives none, and other columns are left out."""
     small_batches(docs.sparkSession)
     end = np.array([end_id], "<u4").tobytes()
 
@@ -88,7 +89,8 @@ def pack(rows: DataFrame, *, capacity: int = 1024, most_documents: int | None =
     ``most_documents`` bounds the pieces of a sequence and ``most_attention`` the sum of their
     squared lengths; None lets the tokens alone decide. A piece that no empty bin could take
     raises an error. Other columns pass through; those with the added names are replaced.
-    An empty table gives an empty result. ``rows`` must not be recomputed differently: pass a
+    An empty table gives an empty result. Pieces of one length go in the order of the table, and of bins that
+    fit as well the first found is taken; repeated rows are packed each. ``rows`` must not be recomputed differently: pass a
     table that has been written.
     """
     limits = (float(capacity), float(most_documents or capacity), float(most_attention or capacity * capacity))
@@ -137,5 +139,6 @@ def pack(rows: DataFrame, *, capacity: int = 1024, most_documents: int | None =
 
 def pack_documents(docs: DataFrame, capacity: int = 1024) -> DataFrame:
     """The pieces of ``docs`` and their places: doc_id, piece, start, length, ids_crc32,
-    sequence_id, offset."""
+    sequence_id, offset. What pieces() and pack() say of nulls, long texts, ties, repeated rows, empty
+    tables and other columns holds here; a column of ``docs`` with an added name is not read."""
     return pack(materialise(pieces(docs, capacity), "pieces"), capacity=capacity).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
