@@ -105,6 +105,8 @@ def test_cleaning_by_a_service(spark, tmp_path):
     assert run(dry_run=True)["requests"] == 3
     service.ready = True
     assert run() == {"written": 29} and run() == {"submitted": 0}
+    files.write_document({}, paths[1])
+    assert run(force_new=True) == {"submitted": 0} and not (tmp_path / "manifest.json").exists()
     twin, seen = cleaning.ticket_twin(tickets, files.read_cache(spark, paths[0]).select("id", "text"))
     twin.write.parquet(str(tmp_path / "twin"))
     assert seen.get == {"rows": 30, "llm": 29, "fallback": 1}
