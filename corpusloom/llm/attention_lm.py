@@ -9,7 +9,9 @@ windows that overlap, so that each token is scored once and, but for a text's fi
 ``CONTEXT`` tokens before it.
 
 Three things are counted over all training documents, exactly: pairs of ids, words, and each word
-after the two words before it. The network is trained on windows of a bounded sample, ``WINDOWS`` on average.
+after the two words before it. The network learns from every window of all training documents, once
+each: blocks go on from common weights, and the mean of what they make of them, by windows, is taken. Only
+where these weights begin comes from a bounded draw, ``WINDOWS`` on average.
 A word's probability is (1 - m) * (0.5 * network + 0.5 * share of all words) + m * share of this
 word among those after the same two words; m rises with how often the two words were seen and is 0
 if only once, so what a document says for the only time doesn't explain itself.
@@ -39,8 +41,10 @@ from corpusloom.llm.near_dedup import each_text, mixed, pieces_of, span_hashes
 
 #: Ranks of the vocabulary, ids of a class, width of vectors, window, tokens before the first that is scored.
 RANKS, CLASS, WIDTH, WINDOW, CONTEXT = 1024, 32, 16, 32, 8
-#: Training: windows (on average), steps, windows of a step, rate.
+#: Training, to begin with: windows (on average), steps, windows of a step, rate.
 WINDOWS, STEPS, BATCH, RATE = 80_000, 2000, 64, 1e-2
+#: Then, of all windows: windows of a step, rate; parts of a whole in which changes of weights are added up.
+PASSED, PASS_RATE, UNIT = 256, 1e-2, 1 << 20
 #: Codes: 0 stands before a text, ids follow from 1, then the end.
 END, CODES = RANKS + 1, RANKS + 2
 #: Share of the corpus's words in a word's probability, and the most of what followed the same two words.
@@ -169,13 +173,20 @@ _SEEN = np.tril(np.ones((WINDOW, WINDOW), np.float32))
 
 def forward(w: dict[str, np.ndarray], x: np.ndarray) -> tuple[np.ndarray, ...]:
     """Hidden vectors of windows of codes ``x``, and what training needs."""
-    e = w["emb"].take(x, axis=0) + w["pos"]
-    q, k, v = np.split(e @ w["qkv"], 3, axis=2)
-    q = q * np.float32(1 / np.sqrt(WIDTH))
-    a = np.exp(np.minimum(q @ k.transpose(0, 2, 1), 60)) * _SEEN
-    a /= a.sum(axis=2, keepdims=True)
+    e = w["emb"].take(x, axis=0)
+    e += w["pos"]
+    q, k, v = np.split((e.reshape(-1, WIDTH) @ w["qkv"]).reshape(*x.shape, 3 * WIDTH), 3, axis=2)
+    q *= np.float32(1 / np.sqrt(WIDTH))
+    a = q @ k.transpose(0, 2, 1)
+    np.minimum(a, 60, out=a)
+    np.exp(a, out=a)
+    a *= _SEEN
+    a /= a @ np.ones((WINDOW, 1), a.dtype)
     c = a @ v
-    return np.tanh(e @ w["own"] + c @ w["mix"] + w["bias"]), e, q, k, v, a, c
+    h = e.reshape(-1, WIDTH) @ w["own"]
+    h += c.reshape(-1, WIDTH) @ w["mix"]
+    h += w["bias"]
+    return np.tanh(h, out=h).reshape(e.shape), e, q, k, v, a, c
 
 
 def tables(w: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -204,15 +215,6 @@ def hidden(w: dict[str, np.ndarray], made: tuple[np.ndarray, np.ndarray], x: np.
     return np.tanh(h, out=h)
 
 
-def _by_class(cls: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Each class and the places that have it."""
-    order = np.argsort(cls, kind="stable")
-    edges = np.searchsorted(cls[order], np.arange(n + 1))
-    for c in range(n):
-        if edges[c] < edges[c + 1]:
-            yield c, order[edges[c] : edges[c + 1]]
-
-
 def chances(w: dict[str, np.ndarray], where: Layout, h: np.ndarray, y: np.ndarray, pair: np.ndarray, pair_begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of hidden vectors, the probability of the codes ``y`` that follow and of a beginning; ``pair`` and ``pair_begin``
     are what the pairs of ids say."""
@@ -242,46 +244,57 @@ def gradients(w: dict[str, np.ndarray], where: Layout, x: np.ndarray, y: np.ndar
     of the mixture and that of the network alone, which would else leave what is easy to the pairs and learn nothing."""
     out, e, q, k, v, a, c = forward(w, x)
     flat = lambda z: z.reshape(-1, z.shape[-1])
-    h, ok = flat(out), y.ravel() >= 0
-    t, n = np.maximum(y.ravel(), 0), max(1, int(ok.sum()))
-    rows = np.arange(len(t))
-
-    def softmax(z: np.ndarray) -> np.ndarray:
-        z = np.exp(z - z.max(axis=1, keepdims=True))
-        return z / z.sum(axis=1, keepdims=True)
-
-    top, cls = softmax(h @ w["top"] + w["top0"]), where.cls[t]
-    each = list(_by_class(cls, len(where.taken)))
-    low = np.zeros((len(t), CLASS), h.dtype)
-    for i, at in each:
-        low[at] = softmax(h[at] @ w["low"][i] + w["low0"][i])
-    net = top[rows, cls] * low[rows, where.slot[t]]
+    at = np.flatnonzero(y.ravel() >= 0)
+    at = at[np.argsort(where.cls[y.ravel()[at]], kind="stable")]
+    t, n, rows = y.ravel()[at], max(1, len(at)), np.arange(len(at))
+    cls, slot, h = where.cls[t], where.slot[t], flat(out).take(at, axis=0)
+    edges = np.searchsorted(cls, np.arange(len(where.taken) + 1))
+    each = [(i, slice(a, b)) for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if a < b]
+    top, low = h @ w["top"], np.empty((len(t), CLASS), h.dtype)
+    top += w["top0"]
+    for i, own in each:
+        np.matmul(h[own], w["low"][i], out=low[own])
+        low[own] += w["low0"][i]
+    np.exp(top, out=top)  # of moderate size, as in chances
+    np.exp(low, out=low)
+    tops, lows = top @ np.ones(top.shape[1], h.dtype), low @ np.ones(CLASS, h.dtype)
+    net = top[rows, cls] / tops * (low[rows, slot] / lows)
     gate = 1 / (1 + np.exp(-(h @ w["gate"] + w["gate0"])))
-    p = np.maximum(gate * pair.ravel() + (1 - gate) * net, 1e-12)
+    p = np.maximum(gate * pair.ravel()[at] + (1 - gate) * net, 1e-12)
     net = np.maximum(net, 1e-12)
     part = (1 - gate) * net / p  # how far the network answers for each
-    dgate = ((gate - (1 - part)) * ok / n).astype(h.dtype)
-    part = ((1 + part) * ok / n).astype(h.dtype)
-    dtop = top * part[:, None]
-    dtop[rows, cls] -= part
-    low *= part[:, None]
-    low[rows, where.slot[t]] -= part
-    g = {"gate": h.T @ dgate, "gate0": dgate.sum(keepdims=True), "top": h.T @ dtop, "top0": dtop.sum(axis=0), "low": np.zeros_like(w["low"]), "low0": np.zeros_like(w["low0"])}
-    dh = dgate[:, None] * w["gate"] + dtop @ w["top"].T
-    for i, at in each:
-        g["low"][i], g["low0"][i] = h[at].T @ low[at], low[at].sum(axis=0)
-        dh[at] += low[at] @ w["low"][i].T
-    dz = dh.reshape(out.shape) * (1 - out * out)
-    g |= {"own": flat(e).T @ flat(dz), "mix": flat(c).T @ flat(dz), "bias": flat(dz).sum(axis=0)}
-    de, dc = dz @ w["own"].T, dz @ w["mix"].T
-    da, dv = dc @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ dc
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True))
-    dqkv = np.concatenate([ds @ k / np.float32(np.sqrt(WIDTH)), ds.transpose(0, 2, 1) @ q, dv], axis=2)
+    dgate = ((gate - (1 - part)) / n).astype(h.dtype)
+    part = ((1 + part) / n).astype(h.dtype)
+    for z, sums, place in ((top, tops, cls), (low, lows, slot)):
+        z *= (part / sums)[:, None]
+        z[rows, place] -= part
+    g = {"gate": h.T @ dgate, "gate0": dgate.sum(keepdims=True), "top": h.T @ top, "top0": np.ones(len(t), h.dtype) @ top, "low": np.zeros_like(w["low"]), "low0": np.zeros_like(w["low0"])}
+    dh = top @ w["top"].T
+    dh += dgate[:, None] * w["gate"]
+    for i, own in each:
+        g["low"][i], g["low0"][i] = h[own].T @ low[own], low[own].sum(axis=0)
+        dh[own] += low[own] @ w["low"][i].T
+    dh *= 1 - h * h
+    dz = np.zeros((x.size, WIDTH), h.dtype)
+    dz[at] = dh
+    g |= {"own": flat(e).T @ dz, "mix": flat(c).T @ dz, "bias": dz.sum(axis=0)}
+    dc = (dz @ w["mix"].T).reshape(c.shape)
+    ds = dc @ v.transpose(0, 2, 1)
+    ds -= (dc * c) @ np.ones((WIDTH, 1), h.dtype)
+    ds *= a
+    dqkv = np.empty((*x.shape, 3 * WIDTH), h.dtype)
+    np.matmul(ds, k * np.float32(1 / np.sqrt(WIDTH)), out=dqkv[..., :WIDTH])
+    np.matmul(ds.transpose(0, 2, 1), q, out=dqkv[..., WIDTH : 2 * WIDTH])
+    np.matmul(a.transpose(0, 2, 1), dc, out=dqkv[..., 2 * WIDTH :])
     g["qkv"] = flat(e).T @ flat(dqkv)
-    de = de + dqkv @ w["qkv"].T
-    g["pos"], g["emb"] = de.sum(axis=0), np.zeros_like(w["emb"])
-    np.add.at(g["emb"], x.ravel(), flat(de))
-    return float(-(np.log(p[ok]) + np.log(net[ok])).sum() / n), g
+    de = dz @ w["own"].T
+    de += flat(dqkv) @ w["qkv"].T
+    g["pos"], g["emb"] = de.reshape(e.shape).sum(axis=0), np.zeros_like(w["emb"])
+    order = np.argsort(x.ravel(), kind="stable")
+    codes = x.ravel()[order]
+    first = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
+    g["emb"][codes[first]] = np.add.reduceat(de.take(order, axis=0), first, axis=0)
+    return float(-(np.log(p) + np.log(net)).sum() / n), g
 
 
 def pair_chances(counts: np.ndarray) -> np.ndarray:
@@ -296,6 +309,17 @@ def pair_chances(counts: np.ndarray) -> np.ndarray:
     return (np.maximum(counts - d, 0) / some + np.where(total > 0, d * kinds / some, 1.0) * single).astype(np.float32)
 
 
+def descend(w: dict[str, np.ndarray], where: Layout, batches: Iterator[tuple[np.ndarray, np.ndarray, float]], pairs: np.ndarray) -> None:
+    """Changes weights by a step of Adam for each batch: codes, those that follow (negative: none), the rate."""
+    m, s2 = ({k: np.zeros_like(a) for k, a in w.items()} for _ in range(2))
+    for step, (x, y, rate) in enumerate(batches, 1):
+        _, g = gradients(w, where, x, y, pairs[x, np.maximum(y, 0)])
+        for k in w:
+            m[k] += 0.1 * (g[k] - m[k])
+            s2[k] += 0.01 * (g[k] ** 2 - s2[k])
+            w[k] -= (rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(s2[k] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+
+
 def train(sequences: list[np.ndarray], counts: np.ndarray, steps: int = STEPS, seed: int = 3) -> Model:
     """A model from windows of codes, each with the code before it, and the corpus's counts of pairs."""
     where, pairs = layout(), pair_chances(counts)
@@ -306,18 +330,45 @@ def train(sequences: list[np.ndarray], counts: np.ndarray, steps: int = STEPS, s
     share = counts.sum(axis=0) + 0.5
     rng = np.random.default_rng(seed)
     w = initial(rng, where, share / share.sum())
-    m, s2 = ({k: np.zeros_like(a) for k, a in w.items()} for _ in range(2))
-    for step in range(1, steps + 1 if len(x) else 1):
-        at = rng.integers(0, len(x), BATCH)
-        _, g = gradients(w, where, x[at], y[at], pairs[x[at], np.maximum(y[at], 0)])
-        rate = RATE * min(1.0, step / 50) * (1 - 0.95 * step / steps)
-        for k in w:
-            m[k] += 0.1 * (g[k] - m[k])
-            s2[k] += 0.01 * (g[k] ** 2 - s2[k])
-            w[k] -= (rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(s2[k] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+
+    def batches() -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
+        for step in range(1, steps + 1 if len(x) else 1):
+            at = rng.integers(0, len(x), BATCH)
+            yield x[at], y[at], RATE * min(1.0, step / 50) * (1 - 0.95 * step / steps)
+
+    descend(w, where, batches(), pairs)
     return Model(where, w, pairs, pairs[:, where.begins].sum(axis=1), int(counts[:, where.begins].sum()))
 
 
+def cut(edges: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of training documents, which don't overlap: where each begins and ends, and where its document begins."""
+    begins = np.r_[0, edges[:-1]]
+    n = np.where(held, 0, -(-(edges - begins) // WINDOW))
+    doc = np.repeat(np.arange(len(edges)), n)
+    start = begins[doc] + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)) * WINDOW
+    return start, np.minimum(start + WINDOW, edges[doc]), begins[doc]
+
+
+def lesson(model: Model, y: np.ndarray, edges: np.ndarray, held: np.ndarray, seed: int) -> tuple[dict[str, np.ndarray], int]:
+    """The weights that a block's training documents make of the model's, each of their windows being learned from once,
+    and the number of these windows."""
+    start, end, _ = cut(edges, held)
+    x = np.r_[np.uint16(0), y[:-1]]
+    x[edges[:-1]] = 0
+    w = {k: a.copy() for k, a in model.weights.items()}
+    order = np.random.default_rng(seed).permutation(len(start))
+
+    def batches() -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
+        for i in range(0, len(order), PASSED):
+            at = order[i : i + PASSED]
+            place = start[at, None] + np.arange(WINDOW)
+            inside = place < end[at, None]
+            yield np.where(inside, x.take(place, mode="clip"), np.uint16(0)), np.where(inside, y.take(place, mode="clip").astype(np.int16), np.int16(-1)), PASS_RATE * min(1.0, (i + PASSED) / (20 * PASSED)) * (1 - 0.95 * i / len(order))
+
+    descend(w, model.layout, batches(), model.pairs)
+    return w, len(start)
+
+
 def laid_out(ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Codes of texts, whose ids lie end to end, each with its end; where each text ends."""
     edges = np.cumsum(sizes + 1)
@@ -491,26 +542,49 @@ def pair_counts(blocks: DataFrame) -> np.ndarray:
     return out.reshape(CODES, CODES)
 
 
+def taught(blocks: DataFrame, model: Model) -> Model:
+    """The model after every window of all training documents. Each block goes on from the model's weights with its own
+    windows, and the mean of what blocks make of them is taken, by windows. Changes are added up as whole numbers, so
+    neither the order of blocks nor their partitions matter. One number a weight leaves a partition."""
+    held = blocks.sparkSession.sparkContext.broadcast(model)
+    flat = lambda w: np.concatenate([a.ravel() for a in w.values()])
+
+    def lessons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = flat(held.value.weights).astype(np.float64)
+        total = np.zeros(len(before) + 1, np.int64)
+        for block, y, edges, heldout in _blocks(batches):
+            w, n = lesson(held.value, y, edges, heldout, block)
+            total[:-1] += np.rint((flat(w) - before) * n * UNIT).astype(np.int64)
+            total[-1] += n
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["weight", "n"])
+
+    found = blocks.mapInArrow(lessons, "weight int, n long").groupBy("weight").agg(F.sum("n").alias("n")).toArrow()
+    sizes = [a.size for a in model.weights.values()]
+    total = np.zeros(sum(sizes) + 1, np.int64)
+    total[found["weight"].to_numpy()] = found["n"].to_numpy()
+    change = np.split(total[:-1] / (max(int(total[-1]), 1) * UNIT), np.cumsum(sizes)[:-1])
+    return model._replace(weights={k: (a + c.reshape(a.shape)).astype(np.float32) for (k, a), c in zip(model.weights.items(), change, strict=True)})
+
+
 def learn(blocks: DataFrame, most: int = WINDOWS, steps: int = STEPS) -> Model:
-    """The model: pairs of ids of all training documents, and the network from windows of them that are drawn by the hash of
-    what they hold, ``most`` on average."""
+    """The model: pairs of ids and the network from all training documents. The network's weights begin with ``steps`` on
+    windows that are drawn by the hash of what they hold, ``most`` on average; then each window of all training documents
+    is learned from (without steps: none)."""
     counts = pair_counts(blocks)
     most_hash = _U(min((1 << 64) - 1, (most * WINDOW << 64) // max(int(counts.sum()), 1)))
 
     def drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, y, edges, held in _blocks(batches):
-            begins = np.r_[0, edges[:-1]]
-            n = np.where(held, 0, -(-(edges - begins) // WINDOW))
-            doc = np.repeat(np.arange(len(edges)), n)
-            start = begins[doc] + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)) * WINDOW
-            end = np.minimum(start + WINDOW, edges[doc])
+            start, end, begins = cut(edges, held)
             picked = np.flatnonzero(span_hashes(y, start, end) <= most_hash) if len(start) else start
-            before = lambda i: [0] if start[i] == begins[doc[i]] else [y[start[i] - 1]]
+            before = lambda i: [0] if start[i] == begins[i] else [y[start[i] - 1]]
             out = [np.r_[before(i), y[start[i] : end[i]]].astype("<u2").tobytes() for i in picked]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["codes"])
 
     cuts = blocks.mapInArrow(drawn, "codes binary").toArrow()
-    return train([np.frombuffer(c, "<u2") for c in sorted(cuts["codes"].to_pylist())], counts, steps)
+    begun = train([np.frombuffer(c, "<u2") for c in sorted(cuts["codes"].to_pylist())], counts, steps)
+    return taught(blocks, begun) if steps else begun
 
 
 def _asked(begins: np.ndarray, parts: int):

@@ -192,6 +192,20 @@ def test_training_beats_pairs_alone_on_held_out_text(documents, blocks):
     assert both[0] > both[1]
 
 
+def test_every_training_window_teaches_the_network(blocks, documents, monkeypatch):
+    """Without a single drawn window the network learns, each training window is met once, and partitions don't matter."""
+    held = codes([r.text for r in documents.filter(L.remainder() == 2).select("text").collect()])
+    one, other, none = L.learn(blocks, 0, 200), L.learn(blocks.repartition(5), 0, 200), L.learn(blocks, 0, 0)
+    assert L.word_log_probs(one, *held).sum() > L.word_log_probs(none, *held).sum()
+    assert all((one.weights[k] == other.weights[k]).all() for k in one.weights)
+    met = []
+    monkeypatch.setattr(L, "descend", lambda w, where, batches, pairs: met.extend(tuple(b[b >= 0]) for _, y, _ in batches for b in y))
+    y, edges = codes(["one two three " * 40, "held out " * 30, "", "four"])
+    n = L.lesson(none, y, edges, np.array([False, True, False, False]), 1)[1]
+    own = [y[a:b] for a, b in zip(np.r_[0, edges[:-1]], edges, strict=True)]
+    assert n == len(met) and sorted(met) == sorted(tuple(own[d][i : i + L.WINDOW]) for d in (0, 2, 3) for i in range(0, len(own[d]), L.WINDOW))
+
+
 def test_scores_know_all_training_documents(spark, model):
     """A document that occurs twice anywhere, in any block, is scored apart from one that occurs once."""
     rng = np.random.default_rng(2)
