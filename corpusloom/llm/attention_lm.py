@@ -50,7 +50,7 @@ END, CODES = RANKS + 1, RANKS + 2
 #: Share of the corpus's words in a word's probability, and the most of what followed the same two words.
 COUNTED, REMEMBERED = 0.5, 0.5
 #: Bytes of texts of a block (a longer text is a block of its own), windows that are computed at once, tokens that are scored at once.
-BLOCK, AT_ONCE, SLICE = 1 << 22, 128, 1 << 15
+BLOCK, AT_ONCE, SLICE = 1 << 22, 128, 1 << 14
 ENCODED = "block long, doc_id array<long>, named array<boolean>, held array<boolean>, sizes array<int>, ids binary"
 
 _U = np.uint64
@@ -66,12 +66,20 @@ class _Ids(dict):
     def __missing__(self, word: bytes) -> bytes:
         return np.array(small_bpe().encode_ordinary(" " + word.decode("utf-8", "replace")), "<u2").tobytes()
 
-    def meet(self, words: list[bytes]) -> None:
-        """Remembers ``words`` that are new, encoded at once: the pattern joins nothing with a space after it, unless
-        other white space stands there too."""
+    def of(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each of ``words``."""
         if len(self) >= 150_000:
             self.clear()
-        new = [w for w in set(words) if w not in self and len(w) <= 40]
+        got = list(map(self.get, words))
+        new = {w for w, ids in zip(words, got, strict=True) if ids is None}
+        if new:
+            self.meet([w for w in new if len(w) <= 40])
+            got = [self[w] if ids is None else ids for w, ids in zip(words, got, strict=True)]
+        return got
+
+    def meet(self, new: list[bytes]) -> None:
+        """Remembers words that are ``new``, encoded at once: the pattern joins nothing with a space after it, unless
+        other white space stands there too."""
         text = b" ".join(new).decode("utf-8", "replace")
         ids = np.array(small_bpe().encode_ordinary(" " + text) if new else [], "<u2")
         first = np.flatnonzero(_spaced()[ids]) * 2
@@ -94,9 +102,7 @@ def subwords(text: str | None) -> np.ndarray:
     """Ids of a whole text: of each word after one space, A-Z lower-cased."""
     out = []
     for piece in pieces_of((text or "").encode("utf-8", "surrogatepass")):
-        words = piece.lower().split()
-        _IDS.meet(words)
-        out += [_IDS[w] for w in words]
+        out += _IDS.of(piece.lower().split())
     return np.frombuffer(b"".join(out), "<u2")
 
 
@@ -357,13 +363,15 @@ def lesson(model: Model, y: np.ndarray, edges: np.ndarray, held: np.ndarray, see
     x[edges[:-1]] = 0
     w = {k: a.copy() for k, a in model.weights.items()}
     order = np.random.default_rng(seed).permutation(len(start))
+    xs, ys = (np.lib.stride_tricks.sliding_window_view(np.r_[z, np.zeros(WINDOW, z.dtype)], WINDOW) for z in (x, y.astype(np.int16)))
 
     def batches() -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
         for i in range(0, len(order), PASSED):
             at = order[i : i + PASSED]
-            place = start[at, None] + np.arange(WINDOW)
-            inside = place < end[at, None]
-            yield np.where(inside, x.take(place, mode="clip"), np.uint16(0)), np.where(inside, y.take(place, mode="clip").astype(np.int16), np.int16(-1)), PASS_RATE * min(1.0, (i + PASSED) / (20 * PASSED)) * (1 - 0.95 * i / len(order))
+            own, follow = xs[start[at]], ys[start[at]]
+            outside = np.arange(WINDOW) >= (end - start)[at, None]
+            own[outside], follow[outside] = 0, -1
+            yield own, follow, PASS_RATE * min(1.0, (i + PASSED) / (20 * PASSED)) * (1 - 0.95 * i / len(order))
 
     descend(w, model.layout, batches(), model.pairs)
     return w, len(start)
@@ -433,10 +441,24 @@ def dealt(keys: np.ndarray, parts: int) -> np.ndarray:
     return (keys >> _U(_LOW)) % _U(parts) << _U(_LOW) | keys & _U((1 << _LOW) - 1)
 
 
+def in_order(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of ``keys``, equal ones as they come, and the keys in it. The first bits of each and its place are sorted
+    as one number, which takes less than half of an argsort; if keys that differ in later bits alone are then out of order, all are sorted again."""
+    bits = len(keys).bit_length()
+    left = max(0, int(keys.max(initial=0)).bit_length() + bits - 64)
+    both = keys >> _U(left) << _U(bits) | np.arange(len(keys), dtype=np.uint64)
+    both.sort()
+    order = (both & _U((1 << bits) - 1)).astype(np.int64)
+    ordered = keys[order]
+    if left and (ordered[1:] < ordered[:-1]).any():
+        order = np.argsort(keys, kind="stable")
+        ordered = keys[order]
+    return order, ordered
+
+
 def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct keys, where each of ``keys`` is among them, the order of ``keys``, and where in it each distinct key begins."""
-    order = np.argsort(keys)
-    ordered = keys[order]
+    order, ordered = in_order(keys)
     new = np.r_[True, ordered[1:] != ordered[:-1]][: len(keys)]
     first = np.flatnonzero(new)
     place = np.empty(len(keys), np.int32)

@@ -218,6 +218,30 @@ def test_scores_know_all_training_documents(spark, model):
     assert min(got[i] for i in range(40, 60) if zlib.crc32(str(i % 40 + 40 if i < 50 else i - 10).encode()) % 7 != 2 and zlib.crc32(str(i if i < 50 else i).encode()) % 7 != 2) > max(got[i] for i in range(40)) + 0.5
 
 
+def test_keys_are_sorted_as_single_numbers(monkeypatch):
+    """Like numpy's own distinct keys, without argsort unless keys differ only in bits that places take."""
+    rng = np.random.default_rng(4)
+    many = L.dealt(rng.integers(0, 1 << 63, 5000, dtype=np.uint64), 3000)[rng.integers(0, 5000, 40_000)]
+    close = (np.uint64(2999) << np.uint64(40)) + rng.integers(0, 3000, 40_000).astype(np.uint64)
+    for keys, plain in ((many, False), (many[:1], False), (many[:0], False), (close[:100] >> np.uint64(30), False), (close, True)):
+        want = np.unique(keys, return_inverse=True)
+        with monkeypatch.context() as patch:
+            if not plain:
+                patch.setattr(np, "argsort", None)
+            known, place, order, first = L.distinct(keys)
+        assert (known == want[0]).all() and (place == want[1]).all() and (keys[order][first] == known).all()
+        assert L.summed(np.ones(len(keys), np.int64), order, first).tolist() == np.bincount(want[1], minlength=len(known)).tolist()
+
+
+def test_long_texts_are_scored_in_small_pieces(model, monkeypatch):
+    """What is computed for the classes of a piece stays near the processor: at most 2^14 tokens of 32 numbers."""
+    sizes, chances = [], L.chances
+    monkeypatch.setattr(L, "chances", lambda w, where, h, y, *pairs: sizes.append(len(y)) or chances(w, where, h, y, *pairs))
+    y, edges = codes(["some words " * 20_000])
+    assert len(L.word_log_probs(model, y, edges)) == 40_001
+    assert sum(sizes) == len(y) > 1 << 15 and max(sizes) <= 1 << 14
+
+
 def test_long_texts_and_keys(spark):
     """Keys of words are odd, the parts' bits don't overlap, and blocks hold whole texts."""
     y, edges = codes(["a b a", "", "a b c"])
