@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from corpusloom.functions.messages import group_message, parse_group
@@ -11,6 +13,9 @@ from corpusloom.functions.text import clean_description, prepass_description, wi
 from corpusloom.operators.records import first_rows, key_text
 from corpusloom.settings import DESCRIPTION_CHARS, GROUP_SIZE, MIN_CHARS
 
+#: Items of a stretch, rounded down to whole groups: what a task orders and makes groups of.
+STRETCH = 6144
+
 
 def ticket_ids(tickets: DataFrame) -> DataFrame:
     """``tickets`` with ``ticket_id``, the same key that records have."""
@@ -20,7 +25,9 @@ def ticket_ids(tickets: DataFrame) -> DataFrame:
 def descriptions(tickets: DataFrame) -> DataFrame:
     """ticket_id, text, _row of the first row of each ticket whose text is long enough."""
     first = first_rows(ticket_ids(tickets).select("ticket_id", "description", "_row"), ("ticket_id",))
-    return first.select("ticket_id", prepass_description(F.col("description")).alias("text"), "_row").filter(F.length("text") >= MIN_CHARS)
+    # always true, but not to the optimizer, which else cleans each text twice: for the filter and for the result
+    text = F.when(F.monotonically_increasing_id() >= 0, prepass_description(F.col("description")))
+    return first.select("ticket_id", text.alias("text"), "_row").filter(F.length("text") >= MIN_CHARS)
 
 
 def latest(cache: DataFrame) -> DataFrame:
@@ -36,19 +43,57 @@ def groups(items: DataFrame, size: int = GROUP_SIZE, runs: int = 1) -> DataFrame
     """custom_id, ids and descriptions of fixed chunks in the order of ``_row``.
 
     Chunks are numbered in one order over all items, as the reference of a batch needs; with
-    ``runs`` over 1 items are dealt by hash into that many runs, each numbered on its own, so
-    that no task orders them all.
+    ``runs`` over 1 items are dealt by hash into that many runs, each numbered on its own. Keys
+    are ordered first, by ranges, and every STRETCH-th of them kept; texts then go to their
+    stretch of the order, which holds whole chunks, so no task orders or reads them all.
     """
-    run = F.pmod(F.xxhash64("ticket_id"), F.lit(runs)).cast("int")
-    place = F.row_number().over(Window.partitionBy("run").orderBy("_row", "ticket_id")) - 1
-    rows = items.withColumn("run", run).withColumn("place", place).withColumn("chunk", F.floor(F.col("place") / size))
+    run = F.pmod(F.xxhash64("ticket_id"), F.lit(runs)).cast("int").alias("run")
+    key, stretch = F.struct(run, "_row", "ticket_id"), max(1, STRETCH // size) * size
+    firsts, kind = _stretches(items.select(run, "_row", "ticket_id"), stretch)
+    if not firsts:
+        firsts = [((None, None, None), 0)]
+    values = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(k, kind, strict=True)]) for k, _ in firsts]
+    nth = F.array(*[F.lit(n) for _, n in firsts])
+    rows = items.withColumn("run", run).withColumn("stretch", _last_not_after(F.array(*values), len(values), key))
+    rows = rows.repartition(len(values), "stretch")
+    place = F.row_number().over(Window.partitionBy("stretch").orderBy("_row", "ticket_id")) - 1
+    rows = rows.withColumn("place", place).withColumn("chunk", F.floor(F.col("place") / size))
     item = F.struct("place", "ticket_id", "text")
-    out = rows.groupBy("run", "chunk").agg(F.array_sort(F.collect_list(item)).alias("g"))
-    name = F.format_string("g%06d", F.col("chunk"))
+    out = rows.groupBy("stretch", "run", "chunk").agg(F.array_sort(F.collect_list(item)).alias("g"))
+    number = F.element_at(nth, F.col("stretch")) * (stretch // size) + F.col("chunk")
+    name = F.format_string("g%06d", number)
     name = name if runs == 1 else F.concat(F.format_string("r%03d", F.col("run")), name)
     return out.select(name.alias("custom_id"), F.transform("g", lambda x: x["ticket_id"]).alias("ids"), F.transform("g", lambda x: x["text"]).alias("descriptions"))
 
 
+def _stretches(keys: DataFrame, stretch: int) -> tuple[list[tuple[tuple, int]], StructType]:
+    """The first key of every ``stretch`` keys of a run, in order, with its number in the run, and the type of keys."""
+    # keys alone are held: what made them is costly, and dealing by ranges reads them twice
+    keys = keys.persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = keys.repartitionByRange("run", "_row", "ticket_id").withColumn("part", F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        before, seen = [], {}
+        for part, of, n in sorted(map(tuple, ranged.groupBy("part", "run").count().collect())):
+            before.append((part, of, seen.get(of, 0)))
+            seen[of] = seen.get(of, 0) + n
+        if not before:
+            return [], keys.schema
+        offsets = F.broadcast(keys.sparkSession.createDataFrame(before, "part int, run int, before long"))
+        place = F.row_number().over(Window.partitionBy("part", "run").orderBy("_row", "ticket_id")) - 1
+        placed = ranged.withColumn("place", place).join(offsets, ["part", "run"]).withColumn("place", F.col("place") + F.col("before"))
+        found = placed.filter(F.col("place") % stretch == 0).orderBy("run", "place").select("run", "_row", "ticket_id", "place").collect()
+    finally:
+        ranged.unpersist()
+        keys.unpersist()
+    return [((r["run"], r["_row"], r["ticket_id"]), r["place"] // stretch) for r in found], keys.schema
+
+
+def _last_not_after(firsts: Column, n: int, key: Column) -> Column:
+    """The place, from 1, of the last of ``n`` ordered values that isn't after ``key``, by halving."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(n.bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda at, s: F.when(F.get(firsts, at + s - 1) <= key, at + s).otherwise(at))
+
+
 def requests(grouped: DataFrame, char_limit: int = DESCRIPTION_CHARS) -> DataFrame:
     return grouped.select("custom_id", group_message(F.col("descriptions"), char_limit).alias("message"))
 

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from corpusloom.operators import records as R
 from corpusloom.operators import requests as Q
@@ -92,3 +93,22 @@ def test_short_descriptions_are_left_out(spark):
     rows = [("a", "1", "x" * 40, 1), ("a", "1", "y" * 50, 2), ("a", "2", "x" * 39, 3), ("a", "3", None, 4)]
     got = Q.descriptions(spark.createDataFrame(rows, "instance string, ticketnumber string, description string, _row long")).collect()
     assert [(r.ticket_id, r.text) for r in got] == [("a::1", "x" * 40)]
+
+
+@pytest.mark.parametrize("runs", [1, 2])
+def test_no_task_reads_all_groups(spark, runs):
+    n = 20_000
+    items = spark.range(n).select(F.concat(F.lit("t"), F.col("id")).alias("ticket_id"), F.lit("x").alias("text"), (F.col("id") * 7919 % n).alias("_row"))
+    got = Q.groups(items, 12, runs).withColumn("part", F.spark_partition_id()).collect()
+    rows = {r: i for i, r in items.select("_row", "ticket_id").collect()}
+    named = {r.custom_id: list(r.ids) for r in got}
+    order = [i for name in sorted(named) for i in named[name]]
+    assert len(named) == len(got) and sorted(order) == sorted(rows)
+    if runs == 1:
+        assert order == sorted(rows, key=rows.get) and all(len(named[f"g{i:06}"]) == 12 for i in range(n // 12))
+    parts = {r.part for r in got}
+    assert max(sum(len(r.ids) for r in got if r.part == p) for p in parts) < n * 0.8
+
+
+def test_groups_of_no_items(spark):
+    assert Q.groups(spark.createDataFrame([], "ticket_id string, text string, _row long")).collect() == []
