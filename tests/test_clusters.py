@@ -3,11 +3,14 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from corpusloom.operators import clustering as C
 from corpusloom.operators import features as X
 from corpusloom.operators import tfidf
+from corpusloom.plans import taxonomy
 
 
 @pytest.mark.parametrize(("n", "ks"), [(2, [2]), (3, [2]), (4, [2, 3]), (20, list(range(10, 20))), (31, [30]), (500, [30]), (1000, list(range(30, 41))), (2250, list(range(30, 91, 5)))])
@@ -157,3 +160,53 @@ def test_embeddings_are_cached_by_text_and_model(spark):
     assert np.allclose(split, X.StubEmbedder(4).embed([str(i) for i in range(10)], ["t"] * 10))
     with pytest.raises(X.RequestTooLarge):
         X.embed_with_split(type("Never", (Picky,), {"embed": lambda *a: (_ for _ in ()).throw(X.RequestTooLarge)})(4), ["1"], ["t"])
+
+
+def scattered(spark, n=400, width=12):
+    rng = np.random.default_rng(4)
+    return spark.createDataFrame([(f"t{i:03}", rng.normal(size=width).tolist()) for i in range(n)], "ticket_id string, x array<double>").cache()
+
+
+def test_kmeans_is_that_of_spark(spark):
+    rows = scattered(spark)
+    model = KMeans(k=5, seed=C.S.KMEANS_SEED * 1000, maxIter=300).fit(rows.select(array_to_vector("x").alias("features")))
+    labels, centres, cost = C.kmeans(rows, 5, starts=1)
+    np.testing.assert_allclose(centres, model.clusterCenters(), rtol=1e-9)
+    assert cost == pytest.approx(model.summary.trainingCost)
+    want = model.setPredictionCol("cluster_id").transform(rows.select("ticket_id", array_to_vector("x").alias("features"))).select("ticket_id", "cluster_id")
+    assert sorted(map(tuple, labels.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_starts_share_passes(spark, monkeypatch):
+    rows, context = scattered(spark), spark.sparkContext
+    begun = C.seeds(rows, [(5, i) for i in range(6)])
+
+    def jobs(starts):
+        monkeypatch.setattr(C, "seeds", lambda rows, wanted: [begun[seed % 1000] for _, seed in wanted])
+        name = f"passes of {starts}"
+        context.setJobGroup(name, "")
+        try:
+            C.kmeans(rows, 5, starts=starts)
+        finally:
+            context.setLocalProperty("spark.jobGroup.id", None)
+        return len(context.statusTracker().getJobIdsForGroup(name))
+
+    one, six = jobs(1), jobs(6)
+    alone = [C.lloyd(p := C.packed(rows), [C.Start(c)]) for c in begun]
+    assert p.unpersist() is p and 2 < one <= six < 4 * one
+    for a, b in zip((a for (a,) in alone), C.lloyd(C.packed(rows), [C.Start(c) for c in begun]), strict=True):
+        np.testing.assert_allclose(a[0], b[0], rtol=1e-9)
+
+
+def test_combinations_share_passes(spark, monkeypatch):
+    parts = {n: X.unit(F.slice("x", 1 + 3 * i, 3)).alias(n) for i, n in enumerate(C.S.WEIGHT_ORDER)}
+    names = ["labels_only", "notes_weighted"]
+    blocks = scattered(spark).select("ticket_id", *parts.values()).cache()
+    together = taxonomy.fit_together(blocks, names, [4, 5], 1)
+    for name in names:
+        own = C.fits(taxonomy.combined(blocks, C.S.COMBOS[name]).cache(), [(k, C.S.KMEANS_SEED) for k in (4, 5)], starts=1)
+        for k, (centres, cost) in zip((4, 5), own, strict=True):
+            np.testing.assert_allclose(together[name][k][0], centres, rtol=1e-9, atol=1e-12)
+            assert together[name][k][1] == pytest.approx(cost)
+    monkeypatch.setattr(C, "PASS_NUMBERS", 100)
+    assert taxonomy.fit_together(blocks, names, [4, 5], 1) is None
