@@ -210,3 +210,13 @@ def test_combinations_share_passes(spark, monkeypatch):
             assert together[name][k][1] == pytest.approx(cost)
     monkeypatch.setattr(C, "PASS_NUMBERS", 100)
     assert taxonomy.fit_together(blocks, names, [4, 5], 1) is None
+
+
+def test_reseeds_share_passes(spark, monkeypatch):
+    parts = {n: X.unit(F.slice("x", 1 + 3 * i, 3)).alias(n) for i, n in enumerate(C.S.WEIGHT_ORDER)}
+    blocks, ran, lloyd = scattered(spark).select("ticket_id", *parts.values()).cache(), [], C.lloyd
+    monkeypatch.setattr(C, "lloyd", lambda *a: ran.append(len(a[1])) or lloyd(*a))
+    labels = C.kmeans(taxonomy.combined(blocks, C.S.COMBOS["all_equal"]).cache(), 3, starts=1)[0].cache()
+    artifact = {"combo": "all_equal", "weights": dict(zip(C.S.WEIGHT_ORDER, C.S.COMBOS["all_equal"], strict=True)), "k": 3}
+    got = taxonomy.stability(blocks, artifact, labels, starts=2)
+    assert got["n_runs"] == 4 and len(got["pairwise_ari"]) == 6 and ran == [1, 6]
